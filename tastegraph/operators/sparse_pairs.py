@@ -17,6 +17,7 @@ plain aggregation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.functions import association, top_per_group
-from tastegraph.operators.kernels import best_per_row
+from tastegraph.operators.kernels import best_in_matrix, best_per_row
 
 BLOCK_ITEMS = 4096          # expected items per block: a dense cell is 128 MB
+MIN_BLOCK_ITEMS = 256       # narrower blocks are not worth a task
 CELL_ENTRIES = 16_000_000   # entries one task may stream
 CHUNK_ENTRIES = 200_000     # entries matched at a time inside a task
 CHUNK_PAIRS = 2_000_000     # pairs expanded at a time inside a task
@@ -62,8 +64,8 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
     among the k best of their first item."""
     spark = entries.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
-    # At least ten cells, so that a small catalogue still fills the cores.
-    blocks = max(4, -(-norms.count() // BLOCK_ITEMS))
+    size = entries.count()
+    blocks = _block_count(norms.count(), size, parallelism)
     blocked, block_norms = (
         df.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
         for df in (entries, norms))
@@ -85,7 +87,7 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
         for df in (routed, headers))
 
     cell = ["cell_row", "cell_col"]
-    load = entries.count() * blocks
+    load = size * blocks
     if load > CELL_ENTRIES:
         load = _routed_entries(blocked, blocks)
     split = load > CELL_ENTRIES
@@ -121,6 +123,14 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
     return sums
 
 
+def _block_count(items: int, size: int, parallelism: int) -> int:
+    """Blocks of bounded width; a small job takes more of them, as long as that
+    gives idle cores a cell."""
+    for_cores = math.ceil(math.sqrt(6 * parallelism))
+    return max(1, -(-items // BLOCK_ITEMS),
+               min(for_cores, -(-items // MIN_BLOCK_ITEMS), CELL_ENTRIES // max(size, 1)))
+
+
 def _routed_entries(blocked: DataFrame, blocks: int) -> int:
     """Bound of the entries sent to cells: each goes to the blocks its key touches."""
     sent = F.col("n") * F.least("n", F.lit(blocks))
@@ -269,7 +279,12 @@ class _Cell:
         self.codes, self.sums, self.loose = [], [], 0
 
     def results(self, k, decimals):
+        """Columns of the pairs to emit, both ways round."""
         self._fold()
+        k = k if self.whole else None
+        if self.dense is not None and k is not None:
+            yield from self._best_of_dense(k, decimals)
+            return
         if self.dense is not None:
             code = np.flatnonzero(self.dense > 0)
             dot = self.dense[code]
@@ -279,11 +294,25 @@ class _Cell:
         else:
             return
         a, b = np.divmod(code, self.width)
-        sides = [(self.left_items[a], self.right_items[b], self.left_norm[a], self.right_norm[b])]
-        sides.append(tuple(sides[0][i] for i in (1, 0, 3, 2)))
-        for product, rid, left, right in sides:
-            if k is None or not self.whole:
-                yield product, rid, dot, left, right
-                continue
-            kept = best_per_row(product, rid, dot / np.sqrt(left * right), k, decimals)
+        forward = [self.left_items[a], self.right_items[b], dot, self.left_norm[a], self.right_norm[b]]
+        for product, rid, dot, left, right in (forward, [forward[i] for i in (1, 0, 2, 4, 3)]):
+            kept = slice(None) if k is None else best_per_row(
+                product, rid, dot / np.sqrt(left * right), k, decimals)
             yield product[kept], rid[kept], dot[kept], left[kept], right[kept]
+
+    def _best_of_dense(self, k, decimals):
+        table = self.dense.reshape(-1, self.width)
+        left = self.left_items, self.left_norm
+        right = self.right_items, self.right_norm
+        if self.row == self.col:
+            sides = [(table + table.T, left, left)]
+        else:
+            sides = [(table, left, right), (table.T, right, left)]
+        for dots, (items, norm), (others, other_norm) in sides:
+            step = max(1, CHUNK_PAIRS // len(others))
+            for start in range(0, len(items), step):
+                part = slice(start, start + step)
+                score = dots[part] / np.sqrt(norm[part, None] * other_norm)
+                row, column = best_in_matrix(score, k, decimals)
+                yield (items[part][row], others[column], dots[part][row, column],
+                       norm[part][row], other_norm[column])

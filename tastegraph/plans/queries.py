@@ -94,7 +94,7 @@ def content_sims_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ratings written as messages and parsed back."""
-    feed = messages.format_messages(views.event_ratings(spark, sf_dir))
+    feed = materialize(messages.format_messages(views.event_ratings(spark, sf_dir)), "feed")
     return messages.parse_rating_messages(feed)
 
 
@@ -104,7 +104,8 @@ def user_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _live_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """History, live ratings, and all ranked similarities of the history."""
-    history, live = views.events_split(spark, sf_dir)
+    history, live = (materialize(df, name) for df, name in
+                     zip(views.events_split(spark, sf_dir), ("history", "live")))
     sims = item_cf.item_cf_sims(history, k=None)
     return history, live, materialize(online.rank_similar(sims), "similar")
 

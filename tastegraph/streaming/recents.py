@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tastegraph.session import STATE_STORE
@@ -20,14 +22,15 @@ def recent_ratings_stream(ratings: DataFrame, n: int) -> DataFrame:
     """
     def newest_per_user(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield _newest(frame, n, by_user=True)
+            newest_first = frame.sort_values(["ts", "seq"], ascending=False)
+            yield newest_first.groupby("user_id").head(n)
 
     ratings = ratings.select("user_id", *_COLUMNS)
     # Older ratings than a user's n newest cannot matter, so they are dropped
     # before the shuffle: a very busy user sends n rows per batch of rows.
     return (ratings.mapInPandas(newest_per_user, f"user_id int, {_RATING}")
             .groupBy("user_id")
-            .transformWithStateInPandas(
+            .transformWithState(
                 statefulProcessor=_RecentRatings(n),
                 outputStructType=f"user_id int, rank int, {_RATING}",
                 outputMode="Update", timeMode="None"))
@@ -38,28 +41,22 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _newest(frame: pd.DataFrame, n: int, by_user: bool = False) -> pd.DataFrame:
-    frame = frame.sort_values(["ts", "seq"], ascending=False, kind="stable")
-    return frame.groupby("user_id").head(n) if by_user else frame.head(n)
-
-
 class _RecentRatings(StatefulProcessor):
+    """Holds a user's newest ratings; a call sees one user's few new ones."""
+
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", _RATING)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame(list(self.recent.get()), columns=_COLUMNS)
-        for frame in rows:
-            new = frame[_COLUMNS]
-            kept = _newest(pd.concat([kept, new]) if len(kept) else new, self.n)
-        kept = kept.astype({"product_id": "int32", "ts": "int64", "seq": "int64"})
-        self.recent.put([(int(p), float(s), int(t), int(q)) for p, s, t, q in kept.itertuples(index=False)])
-        kept.insert(0, "user_id", key[0])
-        kept.insert(1, "rank", range(1, len(kept) + 1))
-        yield kept
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = ((r.product_id, r.score, r.ts, r.seq) for r in rows)
+        kept = heapq.nlargest(self.n, chain(self.recent.get(), new), key=lambda r: (r[2], r[3]))
+        kept = [tuple(r) for r in kept]
+        self.recent.put(kept)
+        for rank, rating in enumerate(kept, 1):
+            yield Row(user_id=key[0], rank=rank, **dict(zip(_COLUMNS, rating)))
 
     def close(self) -> None:
         pass

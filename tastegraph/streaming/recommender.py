@@ -17,30 +17,30 @@ from tastegraph.schemas import STREAM_RECS
 from tastegraph.sources.messages import parse_rating_messages
 from tastegraph.streaming.recents import recent_ratings_stream, use_state_store
 
-RATED_BUCKETS = 256
+RATED_BUCKETS = 32
 
 _LOG = T.StructType([*STREAM_RECS.fields, T.StructField("batch_id", T.LongType())])
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(RATED_BUCKETS)).cast("int")
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 
 
-def save_rated(ratings: DataFrame, path: str) -> None:
-    """Who has rated what, laid out so that a batch reads the buckets of its own
-    users only."""
-    (ratings.select("user_id", "product_id").distinct().withColumn("bucket", _bucket())
-     .repartition("bucket", F.pmod(F.xxhash64("product_id"), F.lit(8)))
-     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+def save_rated(ratings: DataFrame, path: str, buckets: int = RATED_BUCKETS) -> None:
+    """Who has rated what, in one folder per bucket of users, so that a batch
+    reads the buckets of its own users only. Choose `buckets` so that one holds
+    some 100 MB."""
+    (ratings.select("user_id", "product_id").distinct().withColumn("bucket", _bucket(buckets))
+     .repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
 def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame, log_path: str,
                       checkpoint_path: str, n: int = RECENT, k: int = CANDIDATES,
-                      interval: str | None = "2 seconds") -> StreamingQuery:
+                      interval: str | None = "2 seconds", buckets: int = RATED_BUCKETS) -> StreamingQuery:
     """Run over a stream of (seq, value) messages.
 
     `similar` is a written table (product_id, rid, r, place), `rated` one made
-    by `save_rated`. With interval=None the query works off what is there and
+    by `save_rated` with the same number of buckets. With interval=None the query works off what is there and
     stops.
     """
     use_state_store(messages.sparkSession)
@@ -48,7 +48,7 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
     def recommend(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            lists = batch_recommendations(batch, similar, rated, k)
+            lists = batch_recommendations(batch, similar, rated, k, buckets)
             lists.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
@@ -60,11 +60,11 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
 
 
 def batch_recommendations(recents: DataFrame, similar: DataFrame, rated: DataFrame,
-                          k: int = CANDIDATES) -> DataFrame:
+                          k: int = CANDIDATES, buckets: int = RATED_BUCKETS) -> DataFrame:
     """(user_id, recs) for the users in `recents`: candidates are like the newest
     rating, scores come from all recent ones."""
     requests = recents.where("rank = 1").select("user_id", "product_id")
-    users = requests.select("user_id").withColumn("bucket", _bucket())
+    users = requests.select("user_id").withColumn("bucket", _bucket(buckets))
     known = rated.join(users, ["bucket", "user_id"], "left_semi").select("user_id", "product_id")
     candidates = top_similar_unrated(requests, similar, known, k)
     return rec_lists(stream_priority_score(candidates, recents, similar), requests)
