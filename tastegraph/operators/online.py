@@ -36,8 +36,8 @@ def top_similar_unrated(requests: DataFrame, similar: DataFrame, rated: DataFram
     most similar, so no more of the list than that is joined.
     """
     requests = requests.select("user_id", "product_id").distinct()
-    known = (rated.join(requests.select("user_id").distinct(), "user_id", "left_semi")
-             .select("user_id", F.col("product_id").alias("rid")).distinct())
+    # Repeats are dropped before any join, so a user's share is at most the catalogue.
+    known = rated.select("user_id", F.col("product_id").alias("rid")).distinct()
     reach = known.groupBy("user_id").agg(F.count("*").alias("n"))
     wanted = requests.join(reach, "user_id", "left").withColumn("reach", F.coalesce("n", F.lit(0)) + k)
     candidates = (wanted.join(similar, "product_id").where("place <= reach")

@@ -26,11 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.functions import association, top_per_group
-from tastegraph.operators.kernels import best_in_matrix, best_per_row
+from tastegraph.operators.kernels import best_in_matrix, best_per_run
 
 BLOCK_ITEMS = 4096          # expected items per block: a dense cell is 128 MB
 MIN_BLOCK_ITEMS = 256       # narrower blocks are not worth a task
-CELL_ENTRIES = 16_000_000   # entries one task may stream
+SMALL_LOAD = 16_000_000     # entries sent, up to which a job may take more blocks
+CELL_ENTRIES = 4_000_000    # entries one task may stream
 CHUNK_ENTRIES = 200_000     # entries matched at a time inside a task
 CHUNK_PAIRS = 2_000_000     # pairs expanded at a time inside a task
 MAX_SPLIT_CELLS = 100_000   # bound of the broadcast list of cells to split
@@ -75,18 +76,20 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
     packets = blocked.groupBy("key", "block").agg(F.collect_list(F.struct("item", "weight")).alias("p"))
     routes = (blocked.groupBy("key").agg(F.collect_set("block").alias("others"))
               .select("key", F.explode("others").alias("block"), "others"))
-    routed = (packets.join(routes, ["key", "block"])
-              .select("key", "block", F.explode("others").alias("other"),
-                      F.col("p.item").alias("items"), F.col("p.weight").alias("weights")))
-    headers = (block_norms.groupBy("block").agg(F.collect_list(F.struct("item", "norm")).alias("p"))
-               .select(F.lit(None).cast("long").alias("key"), "block",
-                       F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"),
-                       F.col("p.item").alias("items"), F.col("p.norm").alias("weights")))
-    routed, headers = (
-        df.withColumns({"cell_row": F.least("block", "other"), "cell_col": F.greatest("block", "other")})
-        for df in (routed, headers))
-
     cell = ["cell_row", "cell_col"]
+
+    def to_cells(df: DataFrame, others) -> DataFrame:
+        return (df.withColumn("other", F.explode(others))
+                .withColumns({"cell_row": F.least("block", "other"), "cell_col": F.greatest("block", "other")}))
+
+    routed = to_cells(packets.join(routes, ["key", "block"]), "others").select(
+        *cell, "key", "block", F.col("p.item").alias("items"), F.col("p.weight").alias("weights"))
+    headers = to_cells(
+        block_norms.groupBy("block").agg(F.collect_list(F.struct("item", "norm")).alias("p")),
+        F.sequence(F.lit(0), F.lit(blocks - 1))).select(
+        *cell, F.lit(None).cast("long").alias("key"), "block",
+        F.col("p.item").alias("items"), F.col("p.norm").alias("weights"))
+
     load = size * blocks
     if load > CELL_ENTRIES:
         load = _routed_entries(blocked, blocks)
@@ -95,8 +98,10 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
         # Cells above the bound hold more than load / MAX_SPLIT_CELLS entries
         # each, so there are never more than MAX_SPLIT_CELLS of them.
         bound = max(CELL_ENTRIES, -(-load // MAX_SPLIT_CELLS))
+        sizes = blocked.groupBy("key", "block").agg(F.count("*").alias("n"))
         heavy = F.broadcast(
-            routed.groupBy(*cell).agg(F.sum(F.size("items")).alias("n")).where(F.col("n") > bound)
+            to_cells(sizes.join(routes, ["key", "block"]), "others")
+            .groupBy(*cell).agg(F.sum("n").alias("n")).where(F.col("n") > bound)
             .select(*cell, F.ceil(F.col("n") / CELL_ENTRIES).cast("int").alias("splits")))
         routed = (routed.join(heavy, cell, "left")
                   .withColumn("split", F.coalesce(F.pmod(F.xxhash64("key"), F.col("splits")).cast("int"),
@@ -128,7 +133,7 @@ def _block_count(items: int, size: int, parallelism: int) -> int:
     gives idle cores a cell."""
     for_cores = math.ceil(math.sqrt(6 * parallelism))
     return max(1, -(-items // BLOCK_ITEMS),
-               min(for_cores, -(-items // MIN_BLOCK_ITEMS), CELL_ENTRIES // max(size, 1)))
+               min(for_cores, -(-items // MIN_BLOCK_ITEMS), SMALL_LOAD // max(size, 1)))
 
 
 def _routed_entries(blocked: DataFrame, blocks: int) -> int:
@@ -294,11 +299,14 @@ class _Cell:
         else:
             return
         a, b = np.divmod(code, self.width)
-        forward = [self.left_items[a], self.right_items[b], dot, self.left_norm[a], self.right_norm[b]]
-        for product, rid, dot, left, right in (forward, [forward[i] for i in (1, 0, 2, 4, 3)]):
-            kept = slice(None) if k is None else best_per_row(
-                product, rid, dot / np.sqrt(left * right), k, decimals)
-            yield product[kept], rid[kept], dot[kept], left[kept], right[kept]
+        sides = [(a, b, dot, self.left_items, self.right_items, self.left_norm, self.right_norm)]
+        back = np.argsort(b, kind="stable")
+        sides.append((b[back], a[back], dot[back], self.right_items, self.left_items,
+                      self.right_norm, self.left_norm))
+        for row, column, dot, items, others, norm, other_norm in sides:
+            left, right = norm[row], other_norm[column]
+            kept = slice(None) if k is None else best_per_run(row, dot / np.sqrt(left * right), k, decimals)
+            yield items[row[kept]], others[column[kept]], dot[kept], left[kept], right[kept]
 
     def _best_of_dense(self, k, decimals):
         table = self.dense.reshape(-1, self.width)

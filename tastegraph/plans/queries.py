@@ -23,9 +23,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def load_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products written as caret-separated lines and loaded from them."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.col("p_partkey").cast("int").alias("product_id"), "p_size", "p_brand")
-    lines = views.products(spark, sf_dir).join(part, "product_id").select(
+    lines = views.products(spark, sf_dir, "p_size", "p_brand").select(
         F.concat_ws("^", "product_id", "name", "p_size", "p_brand", "image_url", "categories", "tags"))
     path = new_path(spark, "product-lines")
     lines.write.text(path)
@@ -135,7 +133,8 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     recommender.save_rated(history, rated)
     query = recommender.start_recommender(
         messages.read_rating_stream(spark, feed, files_per_batch=2), similar, spark.read.parquet(rated),
-        log, new_path(spark, "stream-checkpoint"), interval=None)
+        log, new_path(spark, "stream-checkpoint"), interval=None,
+        state_partitions=spark.sparkContext.defaultParallelism)
     query.awaitTermination()
     flat = recommender.flat_recs(recommender.latest_recs(spark, log))
     return online.ranked_recs(flat, OUTPUT_DECIMALS)

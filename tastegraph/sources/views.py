@@ -43,12 +43,13 @@ def events_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return events.where(F.col("event_id") <= 0.8 * last), events.where(F.col("event_id") > 0.8 * last)
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts read as products; the words of name, brand and type are the tags."""
+def products(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Parts read as products; the words of name, brand and type are the tags.
+    `extra` columns of the part table are kept."""
     tags = F.replace(F.concat_ws("|", "p_name", "p_brand", "p_type"), F.lit(" "), F.lit("|"))
     return (spark.read.parquet(f"{sf_dir}/part.parquet")
             .select(F.col("p_partkey").cast("int").alias("product_id"),
                     F.col("p_name").alias("name"),
                     F.col("p_type").alias("categories"),
                     F.concat(F.lit("img/"), F.col("p_partkey")).alias("image_url"),
-                    tags.alias("tags")))
+                    tags.alias("tags"), *extra))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import pandas as pd
@@ -36,9 +37,21 @@ def recent_ratings_stream(ratings: DataFrame, n: int) -> DataFrame:
                 outputMode="Update", timeMode="None"))
 
 
-def use_state_store(spark: SparkSession) -> None:
-    """List state needs the RocksDB store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a stream takes over when it starts: list state needs the RocksDB
+    store, and its number of partitions stays fixed for the checkpoint's life."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class _RecentRatings(StatefulProcessor):

@@ -15,7 +15,7 @@ from tastegraph.operators.online import (CANDIDATES, RECENT, rec_lists, stream_p
                                          top_similar_unrated)
 from tastegraph.schemas import STREAM_RECS
 from tastegraph.sources.messages import parse_rating_messages
-from tastegraph.streaming.recents import recent_ratings_stream, use_state_store
+from tastegraph.streaming.recents import recent_ratings_stream, state_settings
 
 RATED_BUCKETS = 32
 
@@ -36,14 +36,15 @@ def save_rated(ratings: DataFrame, path: str, buckets: int = RATED_BUCKETS) -> N
 
 def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame, log_path: str,
                       checkpoint_path: str, n: int = RECENT, k: int = CANDIDATES,
-                      interval: str | None = "2 seconds", buckets: int = RATED_BUCKETS) -> StreamingQuery:
+                      interval: str | None = "2 seconds", buckets: int = RATED_BUCKETS,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Run over a stream of (seq, value) messages.
 
     `similar` is a written table (product_id, rid, r, place), `rated` one made
     by `save_rated` with the same number of buckets. With interval=None the query works off what is there and
-    stops.
+    stops. `state_partitions` is the number of parts of the users' state, by
+    default the session's shuffle partitions.
     """
-    use_state_store(messages.sparkSession)
 
     def recommend(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -55,8 +56,9 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
 
     recents = recent_ratings_stream(parse_rating_messages(messages), n)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (recents.writeStream.outputMode("update").foreachBatch(recommend)
-            .option("checkpointLocation", checkpoint_path).trigger(**trigger).start())
+    with state_settings(messages.sparkSession, state_partitions):
+        return (recents.writeStream.outputMode("update").foreachBatch(recommend)
+                .option("checkpointLocation", checkpoint_path).trigger(**trigger).start())
 
 
 def batch_recommendations(recents: DataFrame, similar: DataFrame, rated: DataFrame,
