@@ -42,6 +42,43 @@ sims as (
   from n_pair p join n_item x on x.product_id = p.product_id join n_item y on y.product_id = p.rid)"""
 
 
+def _times(x: str, factor: int) -> str:
+    return f"(({x}) * {factor} % 4294967296)"
+
+
+def _rotated(x: str, bits: int) -> str:
+    return f"(({x}) * {2 ** bits} % 4294967296 + ({x}) // {2 ** (32 - bits)})"
+
+
+def _murmur_word(x: str) -> str:
+    return _times(_rotated(_times(x, 3432918353), 15), 461845907)
+
+
+def _byte(offset: int) -> str:
+    """A byte of `term` (ASCII), 0 beyond its end, in its place of a word."""
+    return (f"case when length(term) >= pos + {offset + 1} then "
+            f"cast(ascii(substr(term, pos + {offset + 1}, 1)) as ubigint) * {256 ** offset} else 0 end")
+
+
+# The bucket of each row of `terms`: MurmurHash3 (32 bits, seed 42) of the word,
+# as a signed number modulo 189.
+_TERM_BUCKETS = f"""
+rounds(term, pos, h) as (
+  select term, 0, cast(42 as ubigint) from terms
+  union all
+  select term, pos + 4, ({_rotated('x', 13)} * 5 + 3864292196) % 4294967296
+  from (select term, pos, xor(h, {_murmur_word(' + '.join(map(_byte, range(4))))}) as x
+        from rounds where pos + 4 <= length(term))),
+ends as (
+  select term, xor(xor(h, {_murmur_word(' + '.join(map(_byte, range(3))))}), cast(length(term) as ubigint)) as h
+  from rounds where pos + 4 > length(term)),
+stirred as (select term, {_times('xor(h, h // 65536)', 2246822507)} as h from ends),
+stirred_again as (select term, {_times('xor(h, h // 8192)', 3266489909)} as h from stirred),
+hashed as (select term, cast(xor(h, h // 65536) as bigint) as h from stirred_again),
+buckets as (
+  select term, ((case when h >= 2147483648 then h - 4294967296 else h end) % 189 + 189) % 189 as bucket
+  from hashed)"""
+
 _LIVE = f"""{_EVENT_RATINGS},
 history as (select * from event_ratings where event_id <= 0.8 * (select max(event_id) from events)),
 live as (select * from event_ratings where event_id > 0.8 * (select max(event_id) from events)),
@@ -117,6 +154,28 @@ ranked as (
   from (select d.product_id, d.rid, round(d.dot / (x.len * y.len), 6) as r
         from dots d join lengths x on x.product_id = d.product_id join lengths y on y.product_id = d.rid
         where d.dot > 0))
+select product_id, rid, r, cast(rank as int) as rank from ranked where rank <= 5""",
+    "content_sims_hashed": f"""
+with recursive {_PRODUCTS},
+words as (
+  select product_id, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) as term from products),
+terms as (select distinct term from words),
+{_TERM_BUCKETS},
+tf as (select product_id, bucket, count(*) as tf from words join buckets using (term) group by 1, 2),
+df as (select bucket, count(*) as df from tf group by 1),
+weighted as (
+  select product_id, bucket, tf * ln(((select count(*) from products) + 1.0) / (df + 1)) as w
+  from tf join df using (bucket)),
+lengths as (select product_id, sqrt(sum(w * w)) as len from weighted group by 1 having sum(w * w) > 0),
+dots as (
+  select a.product_id, b.product_id as rid, sum(a.w * b.w) as dot
+  from weighted a join weighted b on a.bucket = b.bucket and a.product_id <> b.product_id
+  group by 1, 2),
+pairs as (
+  select x.product_id, y.product_id as rid, round(coalesce(d.dot, 0.0) / (x.len * y.len), 6) as r
+  from lengths x join lengths y on x.product_id <> y.product_id
+  left join dots d on d.product_id = x.product_id and d.rid = y.product_id),
+ranked as (select *, row_number() over (partition by product_id order by r desc, rid) as rank from pairs)
 select product_id, rid, r, cast(rank as int) as rank from ranked where rank <= 5""",
     "rating_rmse": f"""
 with {_RATINGS},

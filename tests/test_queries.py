@@ -38,7 +38,7 @@ def test_oracles_belong_to_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name,width", [("als_user_recs", 20), ("content_sims_hashed", 5)])
+@pytest.mark.parametrize("name,width", [("als_user_recs", 20), ("content_sims_hashed", 5), ("item_cf_sims", 5)])
 def test_ranks_without_gaps_and_no_self(spark, name, width):
     found = contract.queries()[name](spark, SF_DIR).toPandas()
     owner = found.columns[0]
