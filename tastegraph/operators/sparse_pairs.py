@@ -90,18 +90,19 @@ def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int
         *cell, F.lit(None).cast("long").alias("key"), "block",
         F.col("p.item").alias("items"), F.col("p.norm").alias("weights"))
 
-    load = size * blocks
-    if load > CELL_ENTRIES:
-        load = _routed_entries(blocked, blocks)
-    split = load > CELL_ENTRIES
-    if split:
+    load, split = size * blocks, False
+    if size > CELL_ENTRIES:     # else no cell can be too big: an entry is in a cell once
+        counts = blocked.groupBy("key", "block").agg(F.count("*").alias("n"))
+        sizes = (to_cells(counts.join(routes, ["key", "block"]), "others")
+                 .groupBy(*cell).agg(F.sum("n").alias("n")))
+        load, biggest = sizes.agg(F.sum("n"), F.max("n")).first()
         # Cells above the bound hold more than load / MAX_SPLIT_CELLS entries
         # each, so there are never more than MAX_SPLIT_CELLS of them.
         bound = max(CELL_ENTRIES, -(-load // MAX_SPLIT_CELLS))
-        sizes = blocked.groupBy("key", "block").agg(F.count("*").alias("n"))
+        split = biggest > bound
+    if split:
         heavy = F.broadcast(
-            to_cells(sizes.join(routes, ["key", "block"]), "others")
-            .groupBy(*cell).agg(F.sum("n").alias("n")).where(F.col("n") > bound)
+            sizes.where(F.col("n") > bound)
             .select(*cell, F.ceil(F.col("n") / CELL_ENTRIES).cast("int").alias("splits")))
         routed = (routed.join(heavy, cell, "left")
                   .withColumn("split", F.coalesce(F.pmod(F.xxhash64("key"), F.col("splits")).cast("int"),
@@ -136,12 +137,6 @@ def _block_count(items: int, size: int, parallelism: int) -> int:
                min(for_cores, -(-items // MIN_BLOCK_ITEMS), SMALL_LOAD // max(size, 1)))
 
 
-def _routed_entries(blocked: DataFrame, blocks: int) -> int:
-    """Bound of the entries sent to cells: each goes to the blocks its key touches."""
-    sent = F.col("n") * F.least("n", F.lit(blocks))
-    return blocked.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(sent)).first()[0] or 0
-
-
 def _cell_adder(k: int | None, decimals: int | None):
     def add_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = None
