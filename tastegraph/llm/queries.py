@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tastegraph.llm import bpe
 from tastegraph.llm.exact_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +21,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op6_exact_dedup,)}
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = (bpe.encode(_documents(spark, sf_dir), path)
+               .withColumn("ids_sha256", F.sha2("ids", 256)))
+    return bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+    op6_exact_dedup, op9_bpe_round_trip)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
