@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe
+from tastegraph.llm import bpe, secrets
 from tastegraph.llm.exact_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document stands for one repository, its source for the owner."""
+    return secrets.digest(secrets.find_secrets(_documents(spark, sf_dir)))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
@@ -31,7 +36,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op6_exact_dedup, op9_bpe_round_trip)}
+    op2_secret_ownership, op6_exact_dedup, op9_bpe_round_trip)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
