@@ -17,7 +17,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tastegraph.llm.tables import numbered
+from tastegraph.llm.tables import keep_rows, numbered, text_hash
 
 MIN_CHUNK = 512
 MAX_CHUNK = 8192
@@ -67,7 +67,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise ValueError("two different chunks have one SHA-256")
     recipes = numbered(cut.select(
         "id", F.transform("chunks", lambda c: _identifier(c, wide)).alias("recipe"),
-        F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), "recipes")
+        text_hash(F.col("norm")).alias("text_sha256")), "recipes")
     groups = recipes.groupBy("recipe").agg(F.max(F.struct("id", "row_id")).alias("best"),
                                            F.count(F.lit(1)).alias("group_size"))
     return recipes.join(groups, "recipe").select(
@@ -78,8 +78,5 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, all columns; of rows that also share their
     id, any one."""
-    kept = (exact_duplicates(docs, id_col, text_col).where("kept")
-            .select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_hash")))
-    marked = docs.withColumn("_hash", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
-    same = (F.col(id_col).eqNullSafe(F.col("_kept_id"))) & (F.col("_hash") == F.col("_kept_hash"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_hash"]).drop("_hash")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept")
+    return keep_rows(docs, kept, id_col, text_hash(normalised(F.col(text_col))), id_col, "text_sha256")

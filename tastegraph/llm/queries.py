@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tastegraph.llm import bpe, secrets
 from tastegraph.llm.exact_dedup import exact_duplicates
+from tastegraph.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,10 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_documents(spark, sf_dir)))
 
 
+def op4_simhash_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(_documents(spark, sf_dir), words=3, radius=2)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
@@ -36,7 +41,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op2_secret_ownership, op6_exact_dedup, op9_bpe_round_trip)}
+    op2_secret_ownership, op4_simhash_bitslice, op6_exact_dedup, op9_bpe_round_trip)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tastegraph.workspace import materialize
 
@@ -33,3 +34,48 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
     small_batches(df)
     return df.mapInArrow(over, schema)
+
+
+def text_hash(text: Column) -> Column:
+    """SHA-256 of a text; null counts as empty."""
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, hashed: Column, kept_id: str, kept_hash: str) -> DataFrame:
+    """The rows of `docs` whose id and hash are in `kept`, one of each."""
+    marked = docs.withColumn("_hash", hashed)
+    wanted = kept.select(F.col(kept_id).alias("_kept_id"), F.col(kept_hash).alias("_kept_hash"))
+    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash"))
+    return marked.join(wanted, same, "left_semi").dropDuplicates([id_col, "_hash"]).drop("_hash")
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Of batches sorted by their first `keys` columns: tables in which every
+    group is whole. Only the group at a batch's end is held back."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1] for k in range(keys)]
+        same = np.ones(batch.num_rows, dtype=bool)
+        for k, value in enumerate(last):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == value.as_py()
+        first = int(np.argmax(same))
+        if first:
+            yield pa.Table.from_batches([*held, batch.slice(0, first)])
+            held = [batch.slice(first)]
+        elif held and any(held[-1].column(k)[held[-1].num_rows - 1] != last[k] for k in range(keys)):
+            yield pa.Table.from_batches(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_numbers(*keys: np.ndarray) -> np.ndarray:
+    """0 for the rows of the first group, 1 for those of the next, and so on."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.cumsum(new)
