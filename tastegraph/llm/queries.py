@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, secrets
+from tastegraph.llm import bpe, language, secrets
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.simhash import simhash_groups
 
@@ -23,6 +23,12 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_documents(spark, sf_dir)))
 
 
+def op3_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language.fit(language.labelled_sample(docs))
+    return language.identify(docs, model).withColumn("held_out", language.held_out())
+
+
 def op4_simhash_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_documents(spark, sf_dir), words=3, radius=2)
 
@@ -41,7 +47,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op2_secret_ownership, op4_simhash_bitslice, op6_exact_dedup, op9_bpe_round_trip)}
+    op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op9_bpe_round_trip)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
