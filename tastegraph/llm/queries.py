@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, language, mixing, secrets
+from tastegraph.llm import bpe, language, mixing, repeats, secrets
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.simhash import simhash_groups
 
@@ -45,6 +45,10 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, tokens, entropy=0.97, max_repeats=4.0)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(_documents(spark, sf_dir), length=100))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,7 +60,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op7_temperature_mixing,
-    op9_bpe_round_trip)}
+    op8_suffix_dedup, op9_bpe_round_trip)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """

@@ -79,3 +79,17 @@ def group_numbers(*keys: np.ndarray) -> np.ndarray:
     for key in keys:
         new[1:] |= key[1:] != key[:-1]
     return np.cumsum(new)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`materialize`, after which the shuffle files behind the table may go."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
