@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tastegraph.llm import bpe, language, mixing, repeats, secrets
 from tastegraph.llm.exact_dedup import exact_duplicates
+from tastegraph.llm.forest import near_vectors
 from tastegraph.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +59,13 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op7_temperature_mixing,
-    op8_suffix_dedup, op9_bpe_round_trip)}
+    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
