@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, language, mixing, repeats, secrets
+from tastegraph.llm import bpe, language, mixing, repeats, secrets, surrogates
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.forest import near_vectors
 from tastegraph.llm.simhash import simhash_groups
@@ -19,6 +19,17 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Of a real run, a secret of its owner.
+SURROGATE_KEY = b"an example key"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with surrogates in their texts, and what was replaced."""
+    replaced = surrogates.replace_entities(_documents(spark, sf_dir), SURROGATE_KEY)
+    return replaced.select("doc_id", "text", "n_entities", F.concat_ws(",", F.transform("entities", lambda e: F.concat_ws(
+        ":", e["kind"], e["start"], e["stop"]))).alias("spans"))
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document stands for one repository, its source for the owner."""
     return secrets.digest(secrets.find_secrets(_documents(spark, sf_dir)))
@@ -64,7 +75,7 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op7_temperature_mixing,
+    op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op7_temperature_mixing,
     op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest)}
 
 ORACLES: dict[str, str] = {
