@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, language, mixing, repeats, secrets, surrogates
+from tastegraph.llm import bpe, language, licences, mixing, repeats, secrets, surrogates
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.forest import near_vectors
 from tastegraph.llm.simhash import simhash_groups
@@ -45,6 +45,16 @@ def op4_simhash_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_documents(spark, sf_dir), words=3, radius=2)
 
 
+def op5_licence_inheritance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths: a source stands for a repository, a
+    language for a directory in it, a document for a file."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = licences.detect(_documents(spark, sf_dir).withColumn("path", path))
+    return found.select("doc_id", "path", "licence", F.round("cosine", 6).alias("cosine"), "origin", "from_dir",
+                        F.size("headers").cast("long").alias("n_headers"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
@@ -75,7 +85,8 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op6_exact_dedup, op7_temperature_mixing,
+    op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op5_licence_inheritance,
+    op6_exact_dedup, op7_temperature_mixing,
     op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest)}
 
 ORACLES: dict[str, str] = {
