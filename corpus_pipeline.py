@@ -1,23 +1,55 @@
 """The corpus pipeline: stages over `documents`, each one of the operators.
 
 Every stage gets what its predecessor kept, and its result is written and read
-back before the next one starts.
+back before the next one starts. All but the last return the columns of
+`documents`; the last adds the tokens and puts in their text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tastegraph.llm import bpe, language, mixing
 from tastegraph.llm.exact_dedup import drop_exact_duplicates
+from tastegraph.llm.simhash import drop_near_duplicates
 from tastegraph.workspace import materialize
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, or in no learned language, go."""
+    model = language.fit(language.labelled_sample(docs))
+    names = ("_language", "_score", "_phrase_symbols")
+    found = language.identify(docs, model, carry=tuple(c for c in docs.columns if c != "doc_id"), names=names)
+    return found.where(~language.rejected(F.col(names[0]), F.col(names[2]))).select(docs.columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text stays."""
+    """One document of each text stays, that with the largest id."""
     return drop_exact_duplicates(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    return drop_near_duplicates(docs, words=3, radius=2)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Smaller sources repeat towards equal weights; every document comes at least once."""
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")), entropy=0.97, max_repeats=4.0)
+    return mixing.take(docs, mixed)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with `n_tokens` and `ids`, and as text what the ids decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_tokens", "ids")]
+    encoded = bpe.encode(docs, path, carry=tuple(others)).withColumn("_ids", F.col("ids"))
+    return bpe.decode(encoded, path, ids_col="_ids", to="text").select("doc_id", "text", *others, "n_tokens", "ids")
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("simhash_near_dedup", near_dedup),
+          ("mixing", mix_sources), ("bpe", encode)]
 
 #: SQL can't express all stages.
 ORACLE_SQL = None

@@ -305,25 +305,28 @@ def _worker(path: str) -> tuple[Vocabulary, Words]:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: the id, `n_tokens` and `ids`, the ids as
-    little-endian unsigned 32-bit integers. `path` is the tokenizer file on
-    every machine; strings of special tokens in a text become these tokens."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of `docs`: the id, the columns to carry, `n_tokens` and
+    `ids`, the ids as little-endian unsigned 32-bit integers. `path` is the
+    tokenizer file on every machine; strings of special tokens in a text become
+    these tokens. Carried columns named like a result give way to it."""
+    kept = [id_col, *(c for c in carry if c not in ("n_tokens", "ids"))]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         words = _worker(path)[1]
-        ids = [encode_text(words, t) if t else b"" for t in rows.column(1).to_pylist()]
+        ids = [encode_text(words, t) if t else b"" for t in rows.column(len(kept)).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-            names=[id_col, "n_tokens", "ids"])
+            [*rows.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
+            names=[*kept, "n_tokens", "ids"])
 
-    return map_batches(docs.select(id_col, text_col), batch, f"`{id_col}` {id_type}, n_tokens long, ids binary")
+    return map_batches(docs.select(*kept, text_col), batch, f"{schema}, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """`encoded` with its ids turned back into text, in place of `ids_col`."""
-    kept = [c for c in encoded.columns if c != ids_col]
+    kept = [c for c in encoded.columns if c not in (ids_col, to)]
     schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:

@@ -39,6 +39,7 @@ SYMBOLS = 2 + OWN + SHARED
 UNDETERMINED = "und"
 #: Phrases of fewer symbols on average show that no learned language fits.
 LEAST_PHRASE = 2.0
+RESULT = ("lang_pred", "score", "phrase_symbols")
 
 
 def suffix_automaton(symbols: list[int]) -> np.ndarray:
@@ -200,22 +201,23 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-             carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of `docs`: the id, the columns to carry, `lang_pred`,
-    `score` and `phrase_symbols`, the mean length of a phrase."""
+             carry: tuple[str, ...] = (), names: tuple[str, str, str] = RESULT) -> DataFrame:
+    """One row per row of `docs`: the id, the columns to carry, and under
+    `names` the language, the score and the mean length of a phrase. Carried
+    columns named like a result give way to it."""
     known = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [id_col, *carry]
+    kept = [id_col, *(c for c in carry if c not in names)]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         found = judge(known.value, rows.column(len(kept)).to_pylist())
         return pa.RecordBatch.from_arrays(
             [*rows.columns[:-1], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()),
-             pa.array(found[2], pa.float64())], names=[*kept, "lang_pred", "score", "phrase_symbols"])
+             pa.array(found[2], pa.float64())], names=[*kept, *names])
 
     text = F.col(text_col).alias("_text")
     return map_batches(docs.select(*kept, text), batch,
-                       f"{schema}, lang_pred string, score double, phrase_symbols double")
+                       f"{schema}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` double")
 
 
 def rejected(identified: Column, phrase_symbols: Column) -> Column:
