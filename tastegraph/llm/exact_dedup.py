@@ -17,7 +17,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tastegraph.llm.tables import keep_rows, numbered, text_hash
+from tastegraph.llm.tables import keep_rows, numbered, text_hash, written
 
 MIN_CHUNK = 512
 MAX_CHUNK = 8192
@@ -68,8 +68,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     recipes = numbered(cut.select(
         "id", F.transform("chunks", lambda c: _identifier(c, wide)).alias("recipe"),
         text_hash(F.col("norm")).alias("text_sha256")), "recipes")
-    groups = recipes.groupBy("recipe").agg(F.max(F.struct("id", "row_id")).alias("best"),
-                                           F.count(F.lit(1)).alias("group_size"))
+    groups = written(recipes.groupBy("recipe").agg(F.max(F.struct("id", "row_id")).alias("best"),
+                                                   F.count(F.lit(1)).alias("group_size")), "recipe-groups")
     return recipes.join(groups, "recipe").select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256")

@@ -6,7 +6,7 @@ largest that reaches a target entropy, raised if a source would repeat more
 often than allowed. Each pass over the sources tries many exponents at once and
 only sums come back, so the sources may be many.
 
-Weights become token budgets. A source is taken whole as often as its budget
+Weights become budgets of whole tokens. A source is taken whole as often as its budget
 allows; in every epoch its rows are dealt into blocks by a hash of seed and
 epoch, which is a permutation cut into blocks of bounded size. The last epoch
 stops where the budget ends: whole blocks by their running sums, and one block
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tastegraph.llm.tables import numbered, text_hash
+from tastegraph.llm.tables import numbered, text_hash, unused
 from tastegraph.workspace import materialize
 
 #: Rows of a block, about.
@@ -111,12 +111,12 @@ def mix(docs: DataFrame, tokens: Column, entropy: float | None = None, max_repea
     found = find_temperature(sources, entropy, max_repeats, budget)
     weight = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(found.total or 1.0), F.lit(found.exponent))
                     / F.lit(found.norm)).otherwise(0.0)
-    due = F.col("weight") * F.lit(found.budget)
-    # A budget that is a whole number of epochs up to rounding is one.
-    whole = F.when(F.col("source_tokens") > 0, F.floor(due / F.col("source_tokens") + 1e-9)).otherwise(1)
+    due = F.round(F.col("weight") * F.lit(found.budget)).cast("long")
+    whole = F.when(F.col("source_tokens") > 0, F.expr("due div source_tokens")).otherwise(1)
     plan = materialize(
-        sources.withColumn("weight", weight).withColumnRenamed("tokens", "source_tokens").withColumn("whole", whole)
-        .withColumn("rest", F.greatest(F.lit(0.0), due - F.col("whole") * F.col("source_tokens")))
+        sources.withColumn("weight", weight).withColumnRenamed("tokens", "source_tokens")
+        .withColumn("due", due).withColumn("whole", whole)
+        .withColumn("rest", F.col("due") - F.col("whole") * F.col("source_tokens"))
         .withColumn("blocks", F.ceil(F.col("rows") / block_rows))
         .select(F.col("source").alias("of"), "weight", "whole", "rest", "blocks"), "plan")
     mixed = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("id"), F.col("hash"))
@@ -145,10 +145,10 @@ def mix(docs: DataFrame, tokens: Column, entropy: float | None = None, max_repea
 
 def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, each as often as it was taken."""
-    copies = (mixed.groupBy(F.col(id_col).alias("_taken_id"), F.col("text_sha256").alias("_taken_hash"))
-              .agg(F.count(F.lit(1)).alias("_copies")))
-    marked = docs.withColumn("_hash", text_hash(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_taken_id")) & (F.col("_hash") == F.col("_taken_hash"))
-    return (marked.join(copies, same).dropDuplicates([id_col, "_hash"])
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    own, of_id, of_hash, copies, copy = unused(docs, "_hash", "_taken_id", "_taken_hash", "_copies", "_copy")
+    taken = (mixed.groupBy(F.col(id_col).alias(of_id), F.col("text_sha256").alias(of_hash))
+             .agg(F.count(F.lit(1)).alias(copies)))
+    same = F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_hash))
+    return (docs.withColumn(own, text_hash(F.col(text_col))).join(taken, same).dropDuplicates([id_col, own])
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
             .select(docs.columns))

@@ -26,7 +26,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tastegraph.llm.tables import map_batches, written
+from tastegraph.llm.tables import map_batches, unused, written
 
 #: Titles by the gender they tell.
 TITLES = {"m": "Mr Mister Sir Herr Señor Sr Monsieur Господин".split(),
@@ -214,6 +214,7 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     possible = F.coalesce(F.col(text_col).rlike(POSSIBLE), F.lit(False))
     own_id, tag = F.col(id_col).cast("string"), F.xxhash64(text_col)
     candidates = docs.where(possible)
+    found_id, found_tag, put_in = unused(docs, "_found_id", "_found_tag", "_spans")
 
     def scan(rows: pa.RecordBatch) -> pa.RecordBatch | None:
         out = [(i, t, *e) for i, t, text in zip(*(c.to_pylist() for c in rows.columns)) for e in find_entities(text)]
@@ -228,9 +229,8 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     entities = found.groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
     made = written(distinct_surrogates(entities, key), "surrogates")
     spans = written(found.join(made, ["kind", "norm"]).groupBy("id", "tag").agg(F.array_sort(F.collect_list(
-        F.struct("start", "stop", "kind", "made"))).alias("_spans"))
-        .select(F.col("id").alias("_found_id"), F.col("tag").alias("_found_tag"), "_spans"), "spans")
-    hit = candidates.join(spans, own_id.eqNullSafe(F.col("_found_id")) & (tag == F.col("_found_tag")), "left")
+        F.struct("start", "stop", "kind", "made"))).alias("spans")), "spans").toDF(found_id, found_tag, put_in)
+    hit = candidates.join(spans, own_id.eqNullSafe(F.col(found_id)) & (tag == F.col(found_tag)), "left")
     kept = [c for c in docs.columns if c != text_col]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     span = "array<struct<start:int,stop:int,kind:string>>"
@@ -248,6 +248,6 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
         return pa.RecordBatch.from_arrays([*rows.columns[:-2], pa.array(texts, pa.string()), pa.array(entities, kind)],
                                           names=[*kept, text_col, "entities"])
 
-    changed = map_batches(hit.select(*kept, text_col, "_spans"), put, f"{schema}{', ' if kept else ''}`{text_col}` string, entities {span}")
+    changed = map_batches(hit.select(*kept, text_col, put_in), put, f"{schema}{', ' if kept else ''}`{text_col}` string, entities {span}")
     rest = docs.where(~possible).select(*kept, text_col, F.array().cast(span).alias("entities"))
     return changed.unionByName(rest).withColumn("n_entities", F.size("entities").cast("long"))

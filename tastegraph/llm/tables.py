@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,18 @@ def text_hash(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, made longer where `df` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in count()) if n.lower() not in taken) for name in names]
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, hashed: Column, kept_id: str, kept_hash: str) -> DataFrame:
     """The rows of `docs` whose id and hash are in `kept`, one of each."""
-    marked = docs.withColumn("_hash", hashed)
-    wanted = kept.select(F.col(kept_id).alias("_kept_id"), F.col(kept_hash).alias("_kept_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash"))
-    return marked.join(wanted, same, "left_semi").dropDuplicates([id_col, "_hash"]).drop("_hash")
+    own, of_id, of_hash = unused(docs, "_hash", "_kept_id", "_kept_hash")
+    wanted = kept.select(F.col(kept_id).alias(of_id), F.col(kept_hash).alias(of_hash))
+    same = F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_hash))
+    return docs.withColumn(own, hashed).join(wanted, same, "left_semi").dropDuplicates([id_col, own]).drop(own)
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
