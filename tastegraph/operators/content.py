@@ -67,11 +67,14 @@ def content_sims_hashed(products: DataFrame, k: int = 5, buckets: int = HASH_BUC
     with_vector = groups.join(entries.select(F.col("item").alias("gid")).distinct(), "gid", "left_semi")
     smallest = with_vector.select(F.explode("ids").alias("id")).orderBy("id").limit(2 * k + 2)
     fillers = F.array(*[F.struct(F.lit(row.id).alias("rid"), F.lit(0.0).alias("r"))
-                        for row in smallest.collect()])
+                        for row in smallest.collect()]).cast("array<struct<rid:int,r:double>>")
     listed = F.transform("recs", lambda e: e.rid)
     missing = F.filter(fillers, lambda e: ~F.array_contains(listed, e.rid))
+    # A similarity that rounds to 0 is worth no more than a filler.
+    ranked = F.array_sort(F.transform(F.concat("recs", missing), lambda e: F.struct((-e.r).alias("minus"), e.rid.alias("rid"))))
     lists = (_group_lists(entries, groups, k)
-             .withColumn("recs", F.slice(F.concat("recs", missing), 1, k + 1)))
+             .withColumn("recs", F.transform(F.slice(ranked, 1, k + 1), lambda e: F.struct(
+                 e.rid.alias("rid"), (F.lit(0.0) - e.minus).alias("r")))))
     return _to_members(bags, groups, lists, m, k)
 
 

@@ -11,7 +11,8 @@ from tastegraph.workspace import materialize
 
 def item_cf_sims(ratings: DataFrame, k: int | None = 5) -> DataFrame:
     """The k products most often rated by the same users, as (product_id, rid,
-    r, rank), with r = n_ab / sqrt(n_a * n_b).
+    r, rank), with r = n_ab / sqrt(n_a * n_b). Ratings without a user or product
+    count for nothing.
 
     Counts are of rating rows, so a product rated twice by a user counts twice.
     Repeats are folded into one weighted entry first, which leaves the counts as
@@ -19,7 +20,7 @@ def item_cf_sims(ratings: DataFrame, k: int | None = 5) -> DataFrame:
     related pairs, unranked.
     """
     entries = materialize(
-        ratings.groupBy("user_id", "product_id").agg(F.count("*").alias("n"))
+        ratings.where("user_id is not null and product_id is not null").groupBy("user_id", "product_id").agg(F.count("*").alias("n"))
         .select(F.col("user_id").cast("long").alias("key"), F.col("product_id").alias("item"),
                 F.col("n").cast("double").alias("weight")),
         "co-ratings")

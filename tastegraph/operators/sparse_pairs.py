@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tastegraph.functions import association, top_per_group
+from tastegraph.functions import association, half_up, top_per_group
 from tastegraph.operators.kernels import best_in_matrix, best_per_run
 
 BLOCK_ITEMS = 4096          # expected items per block: a dense cell is 128 MB
@@ -53,7 +53,7 @@ def related_items(entries: DataFrame, norms: DataFrame, k: int | None,
     sums = pair_sums(entries, norms, k, decimals)
     r = association("dot", "left_norm", "right_norm")
     if decimals is not None:
-        r = F.round(r, decimals)
+        r = half_up(r, decimals)
     scored = sums.select("product_id", "rid", r.alias("r"))
     if k is None:
         return scored

@@ -126,11 +126,19 @@ from ratings group by 1, 3""",
     "dense_cosine_topk": """
 with vectors as (select vec_id, cast(embedding as double[]) as v from embeddings),
 pairs as (
-  select a.vec_id, b.vec_id as rid, round(list_cosine_similarity(a.v, b.v), 6) as r
+  select a.vec_id, b.vec_id as rid, floor(list_cosine_similarity(a.v, b.v) * 1e6 + 0.5) / 1e6 as r
   from vectors a join vectors b on a.vec_id <> b.vec_id
   where list_dot_product(a.v, b.v) > 0),
 ranked as (select *, row_number() over (partition by vec_id order by r desc, rid) as rank from pairs)
 select vec_id, rid, r, cast(rank as int) as rank from ranked where rank <= 5""",
+    "dense_dot_topk": """
+with vectors as (select vec_id, cast(embedding as double[]) as v from embeddings),
+catalogue as (select * from vectors where vec_id in (select doc_id from labels)),
+pairs as (
+  select a.vec_id, b.vec_id as rid, floor(list_dot_product(a.v, b.v) * 1e6 + 0.5) / 1e6 as r
+  from vectors a cross join catalogue b where list_dot_product(a.v, b.v) > 0),
+ranked as (select *, row_number() over (partition by vec_id order by r desc, rid) as rank from pairs)
+select vec_id, rid, r, cast(rank as int) as rank from ranked where rank <= 20""",
     "item_cf_sims": f"""
 with {_RATINGS}, {_co_ratings('ratings')},
 ranked as (select *, row_number() over (partition by product_id order by r desc, rid) as rank from sims)
@@ -151,7 +159,7 @@ dots as (
   group by 1, 2),
 ranked as (
   select product_id, rid, r, row_number() over (partition by product_id order by r desc, rid) as rank
-  from (select d.product_id, d.rid, round(d.dot / (x.len * y.len), 6) as r
+  from (select d.product_id, d.rid, floor(d.dot / (x.len * y.len) * 1e6 + 0.5) / 1e6 as r
         from dots d join lengths x on x.product_id = d.product_id join lengths y on y.product_id = d.rid
         where d.dot > 0))
 select product_id, rid, r, cast(rank as int) as rank from ranked where rank <= 5""",
@@ -172,7 +180,7 @@ dots as (
   from weighted a join weighted b on a.bucket = b.bucket and a.product_id <> b.product_id
   group by 1, 2),
 pairs as (
-  select x.product_id, y.product_id as rid, round(coalesce(d.dot, 0.0) / (x.len * y.len), 6) as r
+  select x.product_id, y.product_id as rid, floor(coalesce(d.dot, 0.0) / (x.len * y.len) * 1e6 + 0.5) / 1e6 as r
   from lengths x join lengths y on x.product_id <> y.product_id
   left join dots d on d.product_id = x.product_id and d.rid = y.product_id),
 ranked as (select *, row_number() over (partition by product_id order by r desc, rid) as rank from pairs)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tastegraph.functions import delimited
 from tastegraph.operators import content, item_cf, latent, online, popularity
 from tastegraph.operators.dense_pairs import best_matches
 from tastegraph.sources import messages, text, views
@@ -21,20 +22,28 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, OUTPUT_DECIMALS) for c in columns})
 
 
+def _all_read(loaded: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The good rows, of lines that were written here and so must all be good."""
+    good, rejected = loaded
+    if not rejected.isEmpty():
+        raise ValueError(f"lines that can't be read, such as {rejected.first()}")
+    return good
+
+
 def load_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products written as caret-separated lines and loaded from them."""
     lines = views.products(spark, sf_dir, "p_size", "p_brand").select(
-        F.concat_ws("^", "product_id", "name", "p_size", "p_brand", "image_url", "categories", "tags"))
+        delimited("^", "product_id", "name", "p_size", "p_brand", "image_url", "categories", "tags"))
     path = new_path(spark, "product-lines")
     lines.write.text(path)
-    return text.load_products(spark, path)[0]
+    return _all_read(text.load_products(spark, path))
 
 
 def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings written as comma-separated lines and loaded from them."""
     path = new_path(spark, "rating-lines")
-    views.ratings(spark, sf_dir).select(F.concat_ws(",", "user_id", "product_id", "score", "ts")).write.text(path)
-    return text.load_ratings(spark, path)[0]
+    views.ratings(spark, sf_dir).select(delimited(",", "user_id", "product_id", "score", "ts")).write.text(path)
+    return _all_read(text.load_ratings(spark, path))
 
 
 def rate_more_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +69,8 @@ def als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_product_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latent.als_product_sims(latent.train_als(_written_ratings(spark, sf_dir)))
+    """The 20 best; without k, all pairs of products would be written."""
+    return latent.als_product_sims(latent.train_als(_written_ratings(spark, sf_dir)), k=20)
 
 
 def als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +78,7 @@ def als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.ratings(spark, sf_dir)
+    rows = _written_ratings(spark, sf_dir)
     return _rounded(latent.rating_rmse(rows, latent.product_mean_predictions(rows)), "rmse")
 
 
@@ -78,6 +88,17 @@ def dense_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_matches(vectors, vectors, 5, same=True, decimals=OUTPUT_DECIMALS).withColumnRenamed("id", "vec_id")
 
 
+def dense_dot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of a catalogue, here those with a label, with the highest
+    dot product with each vector: what `als_user_recs` does with its factors."""
+    vectors = (spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+               .select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector")))
+    catalogue = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id")).distinct()
+    found = best_matches(vectors, materialize(vectors.join(catalogue, "id", "left_semi"), "catalogue"), 20, "dot",
+                         decimals=OUTPUT_DECIMALS)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def item_cf_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(item_cf.item_cf_sims(views.ratings(spark, sf_dir)), "r")
 
@@ -91,9 +112,10 @@ def content_sims_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event ratings written as messages and parsed back."""
+    """Event ratings written as messages and parsed back; an event without a
+    product is no rating."""
     feed = materialize(messages.format_messages(views.event_ratings(spark, sf_dir)), "feed")
-    return messages.parse_rating_messages(feed)
+    return messages.parse_rating_messages(feed)[0]
 
 
 def user_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +136,6 @@ def top_similar_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(online.top_similar_unrated(live, similar, history), "r")
 
 
-
-
-
 def stream_priority_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For the state after all live ratings, computed as one batch."""
     history, live, similar = _live_tables(spark, sf_dir)
@@ -142,6 +161,6 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     load_products, load_ratings, rate_more_products, rate_more_recently_products, average_products,
-    als_user_recs, als_product_sims, dense_cosine_topk, item_cf_sims, content_sims_hashed, content_sims,
+    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, item_cf_sims, content_sims_hashed, content_sims,
     als_grid_search, rating_rmse, parse_rating_messages, user_recent_ratings, top_similar_unrated,
     stream_priority_score, stream_recs)}

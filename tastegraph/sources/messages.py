@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tastegraph.functions import delimited
 from tastegraph.schemas import MESSAGE, RATING
 
 
-def parse_rating_messages(messages: DataFrame) -> DataFrame:
-    """Typed ratings from message text, batch or stream. Malformed messages are
-    left out; other columns of `messages` are kept."""
+def parse_rating_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed ratings from message text, batch or stream, and apart the messages
+    that could not be read as they came. A score that is no number cannot be
+    read. Other columns of `messages` are kept."""
     field = F.split("value", r"\|")
     columns = {f.name: F.trim(F.try_element_at(field, F.lit(i + 1))).try_cast(f.dataType)
                for i, f in enumerate(RATING.fields)}
-    return messages.withColumns(columns).dropna(subset=list(columns)).drop("value")
+    parsed = messages.withColumns(columns)
+    good = ~F.isnan("score")
+    for name in columns:
+        good &= F.col(name).isNotNull()
+    good = F.coalesce(good, F.lit(False))
+    return parsed.where(good).drop("value"), parsed.where(~good).select(messages.columns)
 
 
 def format_messages(ratings: DataFrame) -> DataFrame:
     """The inverse, for replaying stored ratings as a feed."""
-    text = F.concat_ws("|", "user_id", "product_id", "score", "ts")
+    text = delimited("|", "user_id", "product_id", "score", "ts")
     return ratings.select(F.col("event_id").cast("long").alias("seq"), text.alias("value"))
 
 

@@ -37,9 +37,12 @@ def save_rated(ratings: DataFrame, path: str, buckets: int = RATED_BUCKETS) -> N
 def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame, log_path: str,
                       checkpoint_path: str, n: int = RECENT, k: int = CANDIDATES,
                       interval: str | None = "2 seconds", buckets: int = RATED_BUCKETS,
-                      state_partitions: int | None = None) -> StreamingQuery:
+                      state_partitions: int | None = None, rejected_path: str | None = None) -> StreamingQuery:
     """Run over a stream of (seq, value) messages.
 
+    Messages that can't be read go to `rejected_path`, in a folder per batch, by
+    a query of their own with a checkpoint beside the other.
+
     `similar` is a written table (product_id, rid, r, place), `rated` one made
     by `save_rated` with the same number of buckets. With interval=None the query works off what is there and
     stops. `state_partitions` is the number of parts of the users' state, by
@@ -54,8 +57,15 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
         finally:
             batch.unpersist()
 
-    recents = recent_ratings_stream(parse_rating_messages(messages), n)
+    def keep_rejected(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+
+    good, rejected = parse_rating_messages(messages)
+    recents = recent_ratings_stream(good, n)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    if rejected_path:
+        (rejected.writeStream.foreachBatch(keep_rejected).option("checkpointLocation", f"{checkpoint_path}-rejected")
+         .trigger(**trigger).start())
     with state_settings(messages.sparkSession, state_partitions):
         return (recents.writeStream.outputMode("update").foreachBatch(recommend)
                 .option("checkpointLocation", checkpoint_path).trigger(**trigger).start())

@@ -18,16 +18,20 @@ _local_roots: dict[str, str] = {}
 
 def workspace_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
+    master = spark.sparkContext.master
+    one_machine = master == "local" or master.startswith(("local[", "local-cluster["))
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and app in _local_roots:
+        return _local_roots[app]
+    shared = shared or spark.sparkContext.getCheckpointDir()
     if shared:
-        return f"{shared.rstrip('/')}/{app}"
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+        if not one_machine and shared.startswith("file:"):
+            raise RuntimeError(f"{shared} is on one machine: set spark.checkpoint.dir to a folder all executors can reach")
+        own = shared.rstrip("/")
+        return own if own.endswith(f"/{app}") else f"{own}/{app}"
+    if master.startswith("local-cluster") or not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tastegraph-")
+    _local_roots[app] = tempfile.mkdtemp(prefix="tastegraph-")
     return _local_roots[app]
 
 
@@ -35,6 +39,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{workspace_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete what the jobs of this application have written, once their results
+    are stored elsewhere."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(workspace_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the workspace and return the table read back."""
     path = new_path(df.sparkSession, name)

@@ -93,3 +93,17 @@ def test_hashed_lists_of_a_larger_catalogue_are_full(products):
     _same(found, _lists(tags, 5, feature=hashing.indexOf, keep_empty=True, fill=True))
     per_product = Counter(a for a, *_ in found)
     assert set(per_product.values()) == {5}
+
+
+def test_similarities_that_round_to_zero_rank_by_id(products):
+    """A word nearly all products have weighs next to nothing."""
+    tags = {i: "|".join(["common"] * (i > 0) + [f"own{i}x{n}" for n in range(4)]) for i in range(300)}
+    hashing = HashingTF(numFeatures=1 << 16)
+    found = rows(content_sims_hashed(products(tags), 5, buckets=1 << 16))
+    _same(found, _lists(tags, 5, feature=hashing.indexOf, keep_empty=True, fill=True))
+    assert [b for a, b, *_ in sorted(found, key=lambda r: (r[0], r[3])) if a == 50] == [0, 1, 2, 3, 4]
+
+
+def test_products_that_all_are_alike_have_no_lists(products):
+    for tags in ({7: "a|b"}, {1: "a|b", 2: "b|a", 3: "a|b"}):
+        assert rows(content_sims_hashed(products(tags), 3)) == rows(content_sims(products(tags), 3)) == []

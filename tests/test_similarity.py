@@ -123,3 +123,43 @@ def test_dense_without_k_gives_every_positive_pair(spark):
     left, right = random.normal(size=(30, 4)), random.normal(size=(40, 4))
     found = {(a, b) for a, b, _ in rows(best_matches(_vectors(spark, left), _vectors(spark, right), None, "dot"))}
     assert found == {(i, j) for i in range(30) for j in range(40) if left[i] @ right[j] > 0}
+
+
+def test_ratings_without_a_product_count_for_nothing(ratings):
+    table = [(1, 1), (1, 2), (1, None), (2, 1), (2, None), (3, None)]
+    assert rows(item_cf_sims(ratings(table))) == rows(item_cf_sims(ratings([r for r in table if r[1] is not None])))
+
+
+def test_vectors_of_different_lengths_are_named(spark):
+    vectors = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 0.0, 0.0]), (2, [1.0]), (3, [1.0, 0.0])],
+                                    "id long, vector array<double>")
+    with pytest.raises(ValueError, match="lengths"):
+        best_matches(vectors, vectors, 2, same=True)
+
+
+def test_vectors_that_cannot_be_compared_match_nothing(spark):
+    good = [(i, [float(i), 1.0]) for i in range(5)]
+    bad = [(10, None), (11, [float("nan"), 1.0]), (12, [None, 1.0]), (13, [0.0, 0.0]), (None, [1.0, 1.0])]
+    schema = "id long, vector array<double>"
+    both, only = spark.createDataFrame(good + bad, schema), spark.createDataFrame(good, schema)
+    assert rows(best_matches(both, both, 3, same=True)) == rows(best_matches(only, only, 3, same=True))
+    nothing = spark.createDataFrame([], schema)
+    assert rows(best_matches(nothing, nothing, 3, same=True)) == []
+
+
+def test_one_rounding_in_tasks_and_in_sql(spark):
+    """Also at half a unit, where other ways to round differ."""
+    import duckdb
+    from tastegraph.functions import half_up
+    from tastegraph.operators.kernels import rounded
+    values = [(n + 0.5) / 1e6 for n in range(0, 1_000_000, 37)]
+    in_tasks = rounded(np.array(values), 6).tolist()
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in frame.select(half_up(frame["x"], 6)).collect()] == in_tasks
+    assert [r[0] for r in duckdb.execute("select floor(x * 1e6 + 0.5) / 1e6 from (select unnest($1) as x)", [values]).fetchall()] == in_tasks
+
+
+def test_cells_of_many_vectors_share_tasks():
+    from tastegraph.operators.dense_pairs import BLOCK_BYTES, PART_ROWS, TASKS_PER_CORE, _width
+    cells = -(-10**9 // PART_ROWS) * -(-10**9 * 8 * 64 // BLOCK_BYTES)
+    assert cells > 10**6 and _width(cells, 4000) == TASKS_PER_CORE * 4000

@@ -2,6 +2,7 @@ import os
 
 from tests.conftest import rows
 from tastegraph.schemas import RATING
+from tastegraph.functions import delimited
 from tastegraph.sources import (format_messages, load_products, load_ratings, load_table, parse_rating_messages,
                                 save_table)
 
@@ -33,13 +34,20 @@ def test_ratings_reject_bad_lines(spark, tmp_path):
 
 
 def test_messages_round_trip_and_skip_malformed(spark):
-    feed = spark.createDataFrame([(1, "4867|457976|5.0|1395676800"), (2, "1|2|oops|3"), (3, " 9 |8|1|7"), (4, "")],
+    feed = spark.createDataFrame([(1, "4867|457976|5.0|1395676800"), (2, "1|2|oops|3"), (3, " 9 |8|1|7"), (4, ""),
+                                  (5, "1|2|NaN|3"), (6, None)],
                                  "seq long, value string")
-    parsed = parse_rating_messages(feed)
+    parsed, rejected = parse_rating_messages(feed)
     assert rows(parsed, "seq", "user_id", "product_id", "score", "ts") == [
         (1, 4867, 457976, 5.0, 1395676800), (3, 9, 8, 1.0, 7)]
-    again = parse_rating_messages(format_messages(parsed.withColumnRenamed("seq", "event_id")))
-    assert rows(again) == rows(parsed)
+    assert rows(rejected, "seq") == [(2,), (4,), (5,), (6,)] and rejected.columns == feed.columns
+    again, none = parse_rating_messages(format_messages(parsed.withColumnRenamed("seq", "event_id")))
+    assert rows(again) == rows(parsed) and none.isEmpty()
+
+
+def test_a_null_field_moves_no_other(spark):
+    lines = spark.createDataFrame([(1, None, 3)], "a int, b string, c int").select(delimited("^", "a", "b", "c").alias("v"))
+    assert rows(lines) == [("1^^3",)]
 
 
 def test_saved_table_is_replaced_as_a_whole(spark, ratings, tmp_path):

@@ -61,3 +61,31 @@ def test_batches_and_their_order_do_not_matter(spark, tables, tmp_path):
     assert _final(spark, str(tmp_path / "compact")) == result
     assert rows(flat_recs(latest_recs(spark, one)).select("user_id").distinct()) == sorted(
         (u,) for u in result if u != 77)
+
+
+def test_rejected_messages_are_kept(spark, tables, tmp_path):
+    similar, rated, _ = tables
+    lines = [(1, "1|5|4|10"), (2, "no rating"), (3, "1|6|NaN|11"), (4, "2|7|3|12")]
+    spark.createDataFrame(lines, "seq long, value string").coalesce(1).write.parquet(f"{tmp_path}/feed/0")
+    feed = read_rating_stream(spark, f"{tmp_path}/feed/*", files_per_batch=1)
+    query = start_recommender(feed, similar, rated, f"{tmp_path}/log", f"{tmp_path}/checkpoint", interval=None, buckets=4,
+                              rejected_path=f"{tmp_path}/rejected")
+    query.awaitTermination()
+    for other in spark.streams.active:
+        other.awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/rejected").select("seq", "value")) == [(2, "no rating"), (3, "1|6|NaN|11")]
+    assert {r.user_id for r in latest_recs(spark, f"{tmp_path}/log").collect()} == {1, 2}
+
+
+def test_a_restart_goes_on_where_it_stopped(spark, tables, tmp_path):
+    similar, rated, live = tables
+    half = len(live) // 2
+    whole = _final(spark, _replay(spark, tables, str(tmp_path / "whole"), [live[:half], live[half:]]))
+    folder = str(tmp_path / "parts")
+    for part, batch in enumerate((live[:half], live[half:])):
+        messages = [(seq, f"{u}|{p}|{s}|{t}") for seq, u, p, s, t in batch]
+        spark.createDataFrame(messages, "seq long, value string").coalesce(1).write.parquet(f"{folder}/feed/{part}")
+        feed = read_rating_stream(spark, f"{folder}/feed/*", files_per_batch=1)
+        start_recommender(feed, similar, rated, f"{folder}/log", f"{folder}/checkpoint", interval=None,
+                          buckets=4).awaitTermination()
+    assert _final(spark, f"{folder}/log") == whole
