@@ -3,7 +3,8 @@
 A source's share of the tokens, to the power of an exponent from 0 (all equal)
 to 1 (as they are), is its weight. The exponent is found by bisection: the
 largest that reaches a target entropy, raised if a source would repeat more
-often than allowed. Each pass over the sources tries many exponents at once and
+often than allowed. With a limit alone, weights are as equal as it allows, and
+with neither they stay as they are. Each pass over the sources tries many exponents at once and
 only sums come back, so the sources may be many.
 
 Weights become budgets of whole tokens. A source is taken whole as often as its budget
@@ -90,7 +91,8 @@ def find_temperature(sources: DataFrame, entropy: float | None, max_repeats: flo
         entropy_at = (grids[0][reached], grids[0][min(reached + 1, STEPS)])
         allowed = min((i for i in range(STEPS + 1) if good[STEPS + 1 + i][1]), default=STEPS)
         repeat_at = (grids[1][max(allowed - 1, 0)], grids[1][allowed])
-    exponent = max(entropy_at[0], repeat_at[1] if repeat_at[1] > 1e-9 else 0.0)
+    wanted = entropy_at[0] if entropy is not None else float(max_repeats is None)
+    exponent = max(wanted, repeat_at[1] if repeat_at[1] > 1e-9 else 0.0)
     norm = _passes(shares, [exponent])["z"][0]
     if budget is None:
         budget = total * norm * most ** (1 - exponent)
