@@ -18,8 +18,6 @@ from tastegraph.workspace import materialize
 
 DECIMALS = 6
 HASH_BUCKETS = 189
-HOT_MEMBERS = 1_000_000     # members from which a group is treated apart
-MAX_HOT_GROUPS = 10_000     # bound of the broadcast list of such groups
 
 
 def content_sims(products: DataFrame, k: int = 5) -> DataFrame:
@@ -41,7 +39,7 @@ def content_sims(products: DataFrame, k: int = 5) -> DataFrame:
     entries = materialize(
         counted.join(vocabulary, "term").select("key", F.col("gid").alias("item"), weight.alias("weight"))
         .where("weight > 0"), "term-weights")
-    return _to_members(bags, groups, _group_lists(entries, groups, k), m, k)
+    return _to_members(bags, groups, _group_lists(entries, groups, k), k)
 
 
 def content_sims_hashed(products: DataFrame, k: int = 5, buckets: int = HASH_BUCKETS) -> DataFrame:
@@ -52,7 +50,6 @@ def content_sims_hashed(products: DataFrame, k: int = 5, buckets: int = HASH_BUC
         products.select("product_id", F.translate(F.coalesce("tags", F.lit("")), "|", " ").alias("text")))
     bags = _bags(words.select("product_id", "words"))
     groups = _groups(bags, k)
-    m = bags.count()
     counts = HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets)
     idf = IDF(inputCol="counts", outputCol="features").fit(counts.transform(bags))
     vectors = idf.transform(counts.transform(groups)).select("gid", F.unwrap_udt("features").alias("v"))
@@ -75,7 +72,7 @@ def content_sims_hashed(products: DataFrame, k: int = 5, buckets: int = HASH_BUC
     lists = (_group_lists(entries, groups, k)
              .withColumn("recs", F.transform(F.slice(ranked, 1, k + 1), lambda e: F.struct(
                  e.rid.alias("rid"), (F.lit(0.0) - e.minus).alias("r")))))
-    return _to_members(bags, groups, lists, m, k)
+    return _to_members(bags, groups, lists, k)
 
 
 def content_sim_lists(products: DataFrame, k: int = 5, hashed: bool = False) -> DataFrame:
@@ -116,21 +113,11 @@ def _group_lists(entries: DataFrame, groups: DataFrame, k: int) -> DataFrame:
                         .alias("recs"))
 
 
-def _to_members(bags: DataFrame, groups: DataFrame, lists: DataFrame, m: int, k: int) -> DataFrame:
-    """Hand each group's list to its members, each without itself."""
-    lists = groups.select("gid", "bag", "members").join(lists, "gid")
-    products = bags.select("product_id", "bag")
-    if m <= HOT_MEMBERS:
-        joined = products.join(lists, "bag")
-    else:
-        # Groups too large for one task are at most MAX_HOT_GROUPS: each holds
-        # more than that share of the products. They are joined where they lie.
-        bound = max(HOT_MEMBERS, -(-m // MAX_HOT_GROUPS))
-        columns = ["product_id", "bag", "recs"]
-        hot_bags = F.broadcast(groups.where(F.col("members") > bound).select("bag"))
-        hot = products.join(F.broadcast(lists.where(F.col("members") > bound)), "bag")
-        rest = products.join(hot_bags, "bag", "left_anti").join(lists.where(F.col("members") <= bound), "bag")
-        joined = hot.select(columns).unionByName(rest.select(columns))
+def _to_members(bags: DataFrame, groups: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """Hand each group's list to its members, each without itself. Both sides are
+    written, so that adaptive execution can split the members of a large group."""
+    lists = materialize(groups.select("gid", "bag").join(lists, "gid").select("bag", "recs"), "group-lists")
     others = F.slice(F.filter("recs", lambda e: e.rid != F.col("product_id")), 1, k)
-    return (joined.select("product_id", F.posexplode(others).alias("at", "rec"))
+    return (bags.select("product_id", "bag").join(lists, "bag")
+            .select("product_id", F.posexplode(others).alias("at", "rec"))
             .select("product_id", "rec.rid", "rec.r", (F.col("at") + 1).alias("rank")))

@@ -11,13 +11,13 @@ pair of blocks. An entry travels to the cells whose two blocks its key touches,
 so a key with n items sends n * min(n, blocks) entries instead of n * n pairs,
 spread over all its cells. A cell adds its pairs up in place and emits sums
 only; a complete cell emits just the k best per item. A cell with more entries
-than one task should see is split by key and its partial sums are added by a
-plain aggregation.
+than one task should see is split by key and its partial sums, one way round,
+are added by a plain aggregation. One formula says for all sizes how wide blocks
+are and into how many parts a cell is split.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,17 +27,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.functions import association, half_up, top_per_group
 from tastegraph.operators.kernels import best_in_matrix, best_per_run
+from tastegraph.workspace import materialize
 
-BLOCK_ITEMS = 4096          # expected items per block: a dense cell is 128 MB
-MIN_BLOCK_ITEMS = 256       # narrower blocks are not worth a task
-SMALL_LOAD = 16_000_000     # entries sent, up to which a job may take more blocks
+BLOCK_ITEMS = 2048          # expected items per block: a dense cell is 32 MB
 CELL_ENTRIES = 4_000_000    # entries one task may stream
 CHUNK_ENTRIES = 200_000     # entries matched at a time inside a task
 CHUNK_PAIRS = 2_000_000     # pairs expanded at a time inside a task
-MAX_SPLIT_CELLS = 100_000   # bound of the broadcast list of cells to split
 
-_WHOLE = -1                 # split number of a cell that one task sees whole
-_SUMS = "product_id int, rid int, dot double, left_norm double, right_norm double"
+_SUMS = "product_id int, rid int, dot double, left_norm double, right_norm double, whole boolean"
 
 
 def related_items(entries: DataFrame, norms: DataFrame, k: int | None,
@@ -63,78 +60,48 @@ def related_items(entries: DataFrame, norms: DataFrame, k: int | None,
 def pair_sums(entries: DataFrame, norms: DataFrame, k: int | None, decimals: int | None) -> DataFrame:
     """Sums of all related pairs, both ways round, or at least those that can be
     among the k best of their first item."""
-    spark = entries.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    size = entries.count()
-    blocks = _block_count(norms.count(), size, parallelism)
+    parallelism = entries.sparkSession.sparkContext.defaultParallelism
+    norms = materialize(norms, "norms")
+    blocks = max(1, -(-norms.count() // BLOCK_ITEMS))
     blocked, block_norms = (
         df.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
         for df in (entries, norms))
 
-    # One row per key and block, at most a block's width long. Joining the
-    # blocks a key touches on key and block spreads a busy key over its blocks.
-    packets = blocked.groupBy("key", "block").agg(F.collect_list(F.struct("item", "weight")).alias("p"))
-    routes = (blocked.groupBy("key").agg(F.collect_set("block").alias("others"))
-              .select("key", F.explode("others").alias("block"), "others"))
+    # One row per key and block, at most a block's width long. Written, so that
+    # the join with the blocks of the same key can be split where a key is busy.
+    packets = materialize(
+        blocked.groupBy("key", "block").agg(F.collect_list(F.struct("item", "weight")).alias("p"))
+        .select("key", "block", F.size("p").alias("n"), F.col("p.item").alias("items"),
+                F.col("p.weight").alias("weights")), "packets")
     cell = ["cell_row", "cell_col"]
-
-    def to_cells(df: DataFrame, others) -> DataFrame:
-        return (df.withColumn("other", F.explode(others))
-                .withColumns({"cell_row": F.least("block", "other"), "cell_col": F.greatest("block", "other")}))
-
-    routed = to_cells(packets.join(routes, ["key", "block"]), "others").select(
-        *cell, "key", "block", F.col("p.item").alias("items"), F.col("p.weight").alias("weights"))
-    headers = to_cells(
-        block_norms.groupBy("block").agg(F.collect_list(F.struct("item", "norm")).alias("p")),
-        F.sequence(F.lit(0), F.lit(blocks - 1))).select(
-        *cell, F.lit(None).cast("long").alias("key"), "block",
-        F.col("p.item").alias("items"), F.col("p.norm").alias("weights"))
-
-    load, split = size * blocks, False
-    if size > CELL_ENTRIES:     # else no cell can be too big: an entry is in a cell once
-        counts = blocked.groupBy("key", "block").agg(F.count("*").alias("n"))
-        sizes = (to_cells(counts.join(routes, ["key", "block"]), "others")
-                 .groupBy(*cell).agg(F.sum("n").alias("n")))
-        load, biggest = sizes.agg(F.sum("n"), F.max("n")).first()
-        # Cells above the bound hold more than load / MAX_SPLIT_CELLS entries
-        # each, so there are never more than MAX_SPLIT_CELLS of them.
-        bound = max(CELL_ENTRIES, -(-load // MAX_SPLIT_CELLS))
-        split = biggest > bound
-    if split:
-        heavy = F.broadcast(
-            sizes.where(F.col("n") > bound)
-            .select(*cell, F.ceil(F.col("n") / CELL_ENTRIES).cast("int").alias("splits")))
-        routed = (routed.join(heavy, cell, "left")
-                  .withColumn("split", F.coalesce(F.pmod(F.xxhash64("key"), F.col("splits")).cast("int"),
-                                                  F.lit(_WHOLE))))
-        headers = (headers.join(heavy, cell, "left")
-                   .withColumn("split", F.explode(F.coalesce(
-                       F.sequence(F.lit(0), F.col("splits") - 1), F.array(F.lit(_WHOLE))))))
-    else:
-        routed, headers = (df.withColumn("split", F.lit(_WHOLE)) for df in (routed, headers))
-
-    columns = [*cell, "split", "key", "block", "items", "weights"]
-    rows = headers.select(*columns).unionByName(routed.select(*columns))
-    cells = blocks * (blocks + 1) // 2
-    tasks = max(3 * parallelism, min(cells, -(-load // 2_000_000)))
+    routed = (packets.join(packets.select("key", F.col("block").alias("other")), "key")
+              .withColumns({"cell_row": F.least("block", "other"), "cell_col": F.greatest("block", "other")}))
+    # Only cells that a key touches exist; each has as many splits as its entries need.
+    cells = materialize(
+        routed.groupBy(*cell).agg(F.sum("n").alias("n"))
+        .withColumn("splits", F.ceil(F.col("n") / CELL_ENTRIES).cast("int")), "cells")
+    load, tasks = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("splits"), F.lit(1))).first()
+
+    packed = block_norms.groupBy("block").agg(F.collect_list(F.struct("item", "norm")).alias("p"))
+    headers = (cells.withColumn("block", F.explode(F.array_distinct(F.array(*cell)))).join(packed, "block")
+               .withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+               .select(*cell, "splits", "split", F.lit(None).cast("long").alias("key"), "block",
+                       F.col("p.item").alias("items"), F.col("p.norm").alias("weights")))
+    split = F.pmod(F.xxhash64("key"), F.col("splits")).cast("int")
+    rows = headers.unionByName(routed.join(cells.drop("n"), cell).withColumn("split", split).select(headers.columns))
+    width = max(1, min(tasks, max(3 * parallelism, -(-load // CELL_ENTRIES))))
     # Within a cell the headers (no key) come first, then the entries key by key.
-    sums = (rows.repartition(tasks, *cell, "split")
-            .sortWithinPartitions(*cell, "split", F.asc_nulls_first("key"))
-            .groupBy(*cell, "split")
-            .applyInArrow(_cell_adder(k, decimals), _SUMS))
-    if split:
-        sums = (sums.groupBy("product_id", "rid")
-                .agg(F.sum("dot").alias("dot"), F.first("left_norm").alias("left_norm"),
-                     F.first("right_norm").alias("right_norm")))
-    return sums
-
-
-def _block_count(items: int, size: int, parallelism: int) -> int:
-    """Blocks of bounded width; a small job takes more of them, as long as that
-    gives idle cores a cell."""
-    for_cores = math.ceil(math.sqrt(6 * parallelism))
-    return max(1, -(-items // BLOCK_ITEMS),
-               min(for_cores, -(-items // MIN_BLOCK_ITEMS), SMALL_LOAD // max(size, 1)))
+    found = materialize(rows.repartition(width, *cell, "split")
+                        .sortWithinPartitions(*cell, "split", F.asc_nulls_first("key"))
+                        .groupBy(*cell, "split")
+                        .applyInArrow(_cell_adder(k, decimals), _SUMS), "pair-sums")
+    # What one task saw whole is final, both ways round; the others add up first.
+    parts = (found.where("not whole").groupBy("product_id", "rid")
+             .agg(F.sum("dot").alias("dot"), F.first("left_norm").alias("left_norm"),
+                  F.first("right_norm").alias("right_norm")))
+    turned = parts.select(F.col("rid").alias("product_id"), F.col("product_id").alias("rid"), "dot",
+                          F.col("right_norm").alias("left_norm"), F.col("left_norm").alias("right_norm"))
+    return found.where("whole").drop("whole").unionByName(parts).unionByName(turned)
 
 
 def _cell_adder(k: int | None, decimals: int | None):
@@ -145,13 +112,13 @@ def _cell_adder(k: int | None, decimals: int | None):
                 cell = _Cell(*entries)
             else:
                 cell.add(keys, *entries)
-        for columns in cell.results(k, decimals):
+        for columns in cell.results(k, decimals) if cell else ():
             for start in range(0, len(columns[0]), 100_000):
                 product, rid, dot, left, right = (c[start:start + 100_000] for c in columns)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(product, pa.int32()), pa.array(rid, pa.int32()),
-                     pa.array(dot), pa.array(left), pa.array(right)],
-                    names=["product_id", "rid", "dot", "left_norm", "right_norm"])
+                     pa.array(dot), pa.array(left), pa.array(right), pa.array(np.full(len(dot), cell.whole))],
+                    names=["product_id", "rid", "dot", "left_norm", "right_norm", "whole"])
     return add_cell
 
 
@@ -162,7 +129,7 @@ def _whole_keys(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        place = tuple(batch.column(name)[0].as_py() for name in ("cell_row", "cell_col", "split"))
+        place = tuple(batch.column(name)[0].as_py() for name in ("cell_row", "cell_col", "splits"))
         heads = batch.column("key").null_count
         if heads:
             if started or batch.column("key").slice(0, heads).null_count != heads:
@@ -212,8 +179,8 @@ def _joined(parts: list) -> list[np.ndarray]:
 class _Cell:
     """Running pair sums of one cell of the pairs table."""
 
-    def __init__(self, block, item, norm, row, col, split):
-        self.row, self.col, self.whole = row, col, split == _WHOLE
+    def __init__(self, block, item, norm, row, col, splits):
+        self.row, self.col, self.whole = row, col, splits == 1
         self.left_items, self.left_norm = self._index(block, item, norm, row)
         self.right_items, self.right_norm = self._index(block, item, norm, col)
         self.width = len(self.right_items)
@@ -279,7 +246,7 @@ class _Cell:
         self.codes, self.sums, self.loose = [], [], 0
 
     def results(self, k, decimals):
-        """Columns of the pairs to emit, both ways round."""
+        """Columns of the pairs to emit, of a whole cell both ways round."""
         self._fold()
         k = k if self.whole else None
         if self.dense is not None and k is not None:
@@ -295,9 +262,10 @@ class _Cell:
             return
         a, b = np.divmod(code, self.width)
         sides = [(a, b, dot, self.left_items, self.right_items, self.left_norm, self.right_norm)]
-        back = np.argsort(b, kind="stable")
-        sides.append((b[back], a[back], dot[back], self.right_items, self.left_items,
-                      self.right_norm, self.left_norm))
+        if self.whole:
+            back = np.argsort(b, kind="stable")
+            sides.append((b[back], a[back], dot[back], self.right_items, self.left_items,
+                          self.right_norm, self.left_norm))
         for row, column, dot, items, others, norm, other_norm in sides:
             left, right = norm[row], other_norm[column]
             kept = slice(None) if k is None else best_per_run(row, dot / np.sqrt(left * right), k, decimals)

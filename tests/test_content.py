@@ -5,7 +5,6 @@ import pytest
 from pyspark.ml.feature import HashingTF
 
 from tests.conftest import rows
-from tastegraph.operators import content
 from tastegraph.operators.content import content_sim_lists, content_sims, content_sims_hashed
 
 
@@ -67,9 +66,8 @@ def test_lists_equal_the_definition(products):
     assert not [r for r in found if 120 in r[:2]]
 
 
-def test_large_groups_of_copies_are_treated_apart(products, monkeypatch):
-    monkeypatch.setattr(content, "HOT_MEMBERS", 10)
-    tags = _catalogue()
+def test_large_groups_of_copies_are_joined_as_any(products):
+    tags = _catalogue() | {n: "fast|steel|red|common" for n in range(200, 400)}
     _same(rows(content_sims(products(tags), 5)), _lists(tags, 5))
 
 
