@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.llm.components import components
@@ -41,16 +42,21 @@ DIRECTIONS = 32
 SAMPLE = 4096
 #: A vector this near a threshold goes both ways, in units of the spread of a
 #: random projection of a unit vector.
-SPILL = 0.25
+SPILL = 0.08
 #: Thresholds are drawn from this middle part of the sample's projections.
 MIDDLE = (0.35, 0.65)
 SEED = 42
 STEPS = 16
 
 
-def _units(vectors: list) -> np.ndarray:
-    matrix = np.array(vectors, dtype=np.float64)
-    matrix /= np.abs(matrix).max(axis=1, keepdims=True)
+def _matrix(vectors: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    """Vectors of one length as rows."""
+    flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+
+def _units(matrix: np.ndarray) -> np.ndarray:
+    matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
@@ -66,7 +72,7 @@ def thresholds(sample: list, trees: int) -> dict[int, np.ndarray]:
     by_size: dict[int, list] = {}
     for vector in sample:
         by_size.setdefault(len(vector), []).append(vector)
-    return {n: np.quantile(_units(v) @ _directions(n, trees), np.linspace(*MIDDLE, STEPS), axis=0).T
+    return {n: np.quantile(_units(np.array(v)) @ _directions(n, trees), np.linspace(*MIDDLE, STEPS), axis=0).T
             for n, v in by_size.items()}
 
 
@@ -78,10 +84,9 @@ def _drawn(path: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def leaves(vectors: list, trees: int, depth: int, known: dict[int, np.ndarray], spill: float) -> list[list[int]]:
-    """For vectors of one length: the leaves of each, in order. A leaf is the
-    tree's number and the path from its root."""
-    units = _units(vectors)
+def leaves(units: np.ndarray, trees: int, depth: int, known: dict[int, np.ndarray], spill: float) -> list[list[int]]:
+    """For unit vectors of one length: the leaves of each, in order. A leaf is
+    the tree's number and the path from its root."""
     size = units.shape[1]
     projected = units @ _directions(size, trees)
     cuts = known.get(size, np.zeros((trees * DIRECTIONS, STEPS)))
@@ -123,7 +128,7 @@ def _first_meeting(lists: list[list[int]], leaf: int) -> np.ndarray:
 
 
 def _compare(least: float):
-    """Sorted (leaf, size, low, high, part, node, copies, vector, leaves) to
+    """Sorted (leaf, size, low, high, part, node, copies, unit, leaves) to
     (node, other, links): the smallest node it is chained to, and how many rows
     it meets here first."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +138,7 @@ def _compare(least: float):
             for start, stop in zip(cuts[:-1], cuts[1:]):
                 group = table.slice(start, stop - start)
                 part, node, copies = (group.column(k).to_numpy() for k in (4, 5, 6))
-                units = _units(group.column(7).to_pylist())
+                units = _matrix(group.column(7), len(group))
                 near = units @ units.T >= least
                 np.fill_diagonal(near, False)
                 if keys[2][start] != keys[3][start]:
@@ -147,7 +152,7 @@ def _compare(least: float):
                 first = near & _first_meeting(lists, int(keys[0][start]))
                 left, right = np.nonzero(np.triu(near))
                 root = fold(len(some), left, right)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root]), pa.array(first @ copies)],
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root]), pa.array((first @ copies.astype(np.float64)).astype(np.int64))],
                                                  names=["node", "other", "links"])
     return over
 
@@ -165,32 +170,37 @@ def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vecto
     classes = numbered(rows.where("vector is not null").groupBy("vector").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")), "classes", "node")
     count = classes.count()
-    depth = max(0, int(np.ceil(np.log2(max(count, 1) / leaf_rows))))
+    # each level leaves (1 + spilled) / 2 of a node's vectors in each half
+    spilled = 2 * spill / np.sqrt(2 * np.pi)
+    depth = max(0, int(np.ceil(np.log(max(count, 1) / leaf_rows) / np.log(2 / (1 + spilled)))))
     sample = classes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE).select("vector").collect()
     known = thresholds([r["vector"] for r in sample], trees)
 
     def index(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = batch.column(2).to_pylist()
-        sizes = np.array([len(v) for v in found])
-        out: list = [None] * len(found)
+        sizes = pa.compute.list_value_length(batch.column(2)).to_numpy()
+        out: list = [None] * len(sizes)
+        units: list = [None] * len(sizes)
         for size in np.unique(sizes):
             here = np.flatnonzero(sizes == size)
-            for i, own in zip(here, leaves([found[i] for i in here], trees, depth, known, spill)):
-                out[i] = own
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))],
-                                          names=["node", "copies", "vector", "leaves"])
+            found = _units(_matrix(batch.column(2).take(pa.array(here)), len(here)))
+            for i, unit, own in zip(here, found, leaves(found, trees, depth, known, spill)):
+                units[i], out[i] = unit, own
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:2], pa.array(units, pa.list_(pa.float64())), pa.array(out, pa.list_(pa.int64()))],
+            names=["node", "copies", "unit", "leaves"])
 
     indexed = written(map_batches(classes.select("node", "copies", "vector"), index,
-                                  "node long, copies long, vector array<double>, leaves array<long>"), "indexed")
-    placed = indexed.select(F.explode("leaves").alias("leaf"), F.size("vector").alias("size"), "node", "copies", "vector", "leaves")
-    counts = written(indexed.select(F.explode("leaves").alias("leaf"), F.size("vector").alias("size"))
+                                  "node long, copies long, unit array<double>, leaves array<long>"), "indexed")
+    # a vector travels once for each of its leaves, and its leaves with it
+    placed = indexed.select(F.explode("leaves").alias("leaf"), F.size("unit").alias("size"), "node", "copies", "unit", "leaves")
+    counts = written(indexed.select(F.explode("leaves").alias("leaf"), F.size("unit").alias("size"))
                      .groupBy("leaf", "size").count().where("count > 1"), "leaf-counts")
     spread = (placed.join(counts, ["leaf", "size"])
               .withColumn("parts", F.ceil(F.col("count") / part_rows))
               .withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .select("leaf", "size", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-                      "part", "node", "copies", "vector", "leaves"))
+                      "part", "node", "copies", "unit", "leaves"))
     keys = ["leaf", "size", "low", "high"]
     found = written(spread.repartition(*keys).sortWithinPartitions(*keys, "part").mapInArrow(
         _compare(least), "node long, other long, links long"), "found")
