@@ -147,11 +147,12 @@ def stream_priority_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final table after the live ratings went through the stream."""
     history, live, similar = _live_tables(spark, sf_dir)
-    feed, rated, log = (new_path(spark, name) for name in ("feed", "rated", "stream-recs"))
+    feed, rated, lists, log = (new_path(spark, name) for name in ("feed", "rated", "similar-lists", "stream-recs"))
     messages.format_messages(live).repartition(4).write.parquet(feed)
     recommender.save_rated(history, rated)
+    recommender.save_similar(similar, lists)
     query = recommender.start_recommender(
-        messages.read_rating_stream(spark, feed, files_per_batch=2), similar, spark.read.parquet(rated),
+        messages.read_rating_stream(spark, feed, files_per_batch=2), spark.read.parquet(lists), spark.read.parquet(rated),
         log, new_path(spark, "stream-checkpoint"), interval=None,
         state_partitions=spark.sparkContext.defaultParallelism)
     query.awaitTermination()

@@ -16,14 +16,32 @@ from tastegraph.operators.online import (CANDIDATES, RECENT, rec_lists, stream_p
 from tastegraph.schemas import STREAM_RECS
 from tastegraph.sources.messages import parse_rating_messages
 from tastegraph.streaming.recents import recent_ratings_stream, state_settings
+from tastegraph.workspace import materialize
 
 RATED_BUCKETS = 32
+SIMILAR_BUCKETS = 64
 
 _LOG = T.StructType([*STREAM_RECS.fields, T.StructField("batch_id", T.LongType())])
 
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+def _bucket(buckets: int, column: str = "user_id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+
+def save_similar(similar: DataFrame, path: str, buckets: int = SIMILAR_BUCKETS) -> None:
+    """The similar products (product_id, rid, r, place), in one folder per bucket
+    of products, so that a batch reads the lists of its own products only. All
+    pairs are kept: a score may need any pair of a candidate and a recent one."""
+    (similar.withColumn("bucket", _bucket(buckets, "product_id")).repartition(buckets, "bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def lists_of(similar: DataFrame, products: DataFrame, buckets: int) -> DataFrame:
+    """The part of a table of `save_similar` that may hold these products. Their
+    buckets, at most `buckets` numbers, are looked up first, so that the scan is
+    pruned to their folders."""
+    wanted = [r[0] for r in products.select(_bucket(buckets, "product_id")).distinct().collect()]
+    return similar.where(F.col("bucket").isin(wanted)).drop("bucket")
 
 
 def save_rated(ratings: DataFrame, path: str, buckets: int = RATED_BUCKETS) -> None:
@@ -37,14 +55,15 @@ def save_rated(ratings: DataFrame, path: str, buckets: int = RATED_BUCKETS) -> N
 def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame, log_path: str,
                       checkpoint_path: str, n: int = RECENT, k: int = CANDIDATES,
                       interval: str | None = "2 seconds", buckets: int = RATED_BUCKETS,
+                      similar_buckets: int = SIMILAR_BUCKETS,
                       state_partitions: int | None = None, rejected_path: str | None = None) -> StreamingQuery:
     """Run over a stream of (seq, value) messages.
 
     Messages that can't be read go to `rejected_path`, in a folder per batch, by
     a query of their own with a checkpoint beside the other.
 
-    `similar` is a written table (product_id, rid, r, place), `rated` one made
-    by `save_rated` with the same number of buckets. With interval=None the query works off what is there and
+    `similar` is a table made by `save_similar`, `rated` one made by `save_rated`,
+    with the same numbers of buckets. With interval=None the query works off what is there and
     stops. `state_partitions` is the number of parts of the users' state, by
     default the session's shuffle partitions.
     """
@@ -52,7 +71,7 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
     def recommend(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            lists = batch_recommendations(batch, similar, rated, k, buckets)
+            lists = batch_recommendations(batch, similar, rated, k, buckets, similar_buckets)
             lists.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
@@ -72,14 +91,17 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
 
 
 def batch_recommendations(recents: DataFrame, similar: DataFrame, rated: DataFrame,
-                          k: int = CANDIDATES, buckets: int = RATED_BUCKETS) -> DataFrame:
+                          k: int = CANDIDATES, buckets: int = RATED_BUCKETS,
+                          similar_buckets: int = SIMILAR_BUCKETS) -> DataFrame:
     """(user_id, recs) for the users in `recents`: candidates are like the newest
     rating, scores come from all recent ones."""
     requests = recents.where("rank = 1").select("user_id", "product_id")
     users = requests.select("user_id").withColumn("bucket", _bucket(buckets))
-    known = rated.join(users, ["bucket", "user_id"], "left_semi").select("user_id", "product_id")
-    candidates = top_similar_unrated(requests, similar, known, k)
-    return rec_lists(stream_priority_score(candidates, recents, similar), requests)
+    known = materialize(rated.join(users, ["bucket", "user_id"], "left_semi").select("user_id", "product_id"), "known")
+    near = lists_of(similar, requests, similar_buckets)
+    candidates = materialize(top_similar_unrated(requests, near, known, k), "candidates")
+    scored = lists_of(similar, candidates.select(F.col("rid").alias("product_id")), similar_buckets)
+    return rec_lists(stream_priority_score(candidates, recents, scored), requests)
 
 
 def latest_recs(spark: SparkSession, *log_paths: str) -> DataFrame:

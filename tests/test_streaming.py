@@ -1,6 +1,7 @@
 """The live recommender replayed in one batch, in many, and out of order."""
 
 import random
+import re
 
 import pytest
 
@@ -8,8 +9,8 @@ from tests.conftest import rows
 from tastegraph.operators.item_cf import item_cf_sims
 from tastegraph.operators.online import rank_similar
 from tastegraph.sources import read_rating_stream
-from tastegraph.streaming.recommender import compact_recs, flat_recs, latest_recs, save_rated, start_recommender
-from tastegraph.workspace import materialize
+from tastegraph.streaming.recommender import (SIMILAR_BUCKETS, compact_recs, flat_recs, latest_recs, lists_of,
+                                              save_rated, save_similar, start_recommender)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,9 @@ def tables(spark, tmp_path_factory):
     chance = random.Random(9)
     history = [(u, chance.randrange(60), float(chance.randint(1, 5)), 0) for u in range(25) for _ in range(12)]
     rated = spark.createDataFrame(history, "user_id int, product_id int, score double, ts long")
-    similar = materialize(rank_similar(item_cf_sims(rated, k=None)), "similar")
+    lists = str(tmp_path_factory.mktemp("similar") / "table")
+    save_similar(rank_similar(item_cf_sims(rated, k=None)), lists)
+    similar = spark.read.parquet(lists)
     path = str(tmp_path_factory.mktemp("rated") / "table")
     save_rated(rated, path, buckets=4)
     # One user sends a third of the feed; several ratings share a second.
@@ -89,3 +92,13 @@ def test_a_restart_goes_on_where_it_stopped(spark, tables, tmp_path):
         start_recommender(feed, similar, rated, f"{folder}/log", f"{folder}/checkpoint", interval=None,
                           buckets=4).awaitTermination()
     assert _final(spark, f"{folder}/log") == whole
+
+
+def test_a_batch_reads_the_lists_of_its_own_products(spark, tables):
+    similar = tables[0]
+    products = spark.createDataFrame([(3,), (17,)], "product_id int")
+    part = lists_of(similar, products, SIMILAR_BUCKETS)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ IN \(\d+,\d+\)", plan)
+    both = [df.where("product_id in (3, 17)") for df in (part, similar)]
+    assert rows(both[0], "product_id", "rid", "r", "place") == rows(both[1], "product_id", "rid", "r", "place") != []
