@@ -99,4 +99,18 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) over (partition by t) as kept,
                sha256(t) as text_sha256
         from norm""",
+    # Every pair, and components by walking the links; all vectors given are usable.
+    "op10_projection_forest": """
+        with recursive vectors as (select vec_id, cast(embedding as double[]) as v from embeddings),
+        links as (
+            select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.vec_id <> b.vec_id
+            where list_cosine_similarity(a.v, b.v) >= 0.9),
+        reached as (
+            select vec_id as a, vec_id as b from vectors
+            union
+            select r.a, l.b from reached r join links l on l.a = r.b),
+        least as (select a as vec_id, min(b) as component_id from reached group by 1),
+        counted as (select a as vec_id, count(*) as n_links from links group by 1)
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from least left join counted using (vec_id)""",
 }
