@@ -78,10 +78,11 @@ class Vocabulary:
         self.ranks, self.merged, born = {}, {}, {}
         self.parts: dict[int, tuple[int, int]] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
-            left, right = (ids[t] for t in (merge.split(" ") if isinstance(merge, str) else merge))
+            parts = merge.split(" ") if isinstance(merge, str) else merge
+            left, right = (ids[t] for t in parts)
             if max(born.get(left, -1), born.get(right, -1)) >= rank:
                 raise ValueError("a merge comes before the merges that make its parts")
-            whole = ids[spec_join(merge)]
+            whole = ids["".join(parts)]
             self.ranks[left, right] = rank
             self.merged[rank] = whole
             self.parts.setdefault(whole, (left, right))
@@ -122,10 +123,6 @@ class Vocabulary:
         return ids
 
 
-def spec_join(merge: str | list[str]) -> str:
-    return merge.replace(" ", "", 1) if isinstance(merge, str) else "".join(merge)
-
-
 def packed(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
