@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from tastegraph.llm.tables import map_batches
 #: Characters of a text taken in at once.
 SLICE = 1 << 16
 #: Words, and pieces between spaces, remembered by a worker; of more, the older half is forgotten.
-CACHE_WORDS = 200_000
-CACHE_SPACED = 500_000
+CACHE_WORDS = 100_000
+CACHE_SPACED = 250_000
 #: Words longer than this go through the window.
 LONG_WORD = 256
 
@@ -65,15 +66,26 @@ def byte_letters() -> dict[str, int]:
 NO_RULE = 1 << 60
 
 
+def token_bytes(spec: dict) -> dict[int, bytes]:
+    """What each id stands for; all that decoding needs."""
+    letters = byte_letters()
+    tokens = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+    return {t["id"]: t["content"].encode() for t in spec["added_tokens"]} | tokens
+
+
+def _read(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 class Vocabulary:
     """A byte-level merge list from a tokenizer file, and its lookahead."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = _read(path)
         letters, ids = byte_letters(), spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens: dict[int, bytes] = {i: bytes(letters[c] for c in t) for t, i in ids.items()}
+        self.tokens = token_bytes(spec)
         self.bytes = [ids[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         self.ranks, self.merged, born = {}, {}, {}
         self.parts: dict[int, tuple[int, int]] = {}
@@ -87,7 +99,6 @@ class Vocabulary:
             self.merged[rank] = whole
             self.parts.setdefault(whole, (left, right))
             born.setdefault(whole, rank)
-        self.tokens |= {i: t.encode() for t, i in self.special.items() if i not in self.tokens}
         self.lookahead = self._lookahead()
 
     def _lookahead(self) -> int:
@@ -291,15 +302,16 @@ def decode_ids(tokens: dict[int, bytes], ids: bytes) -> str:
                    for i in range(0, len(numbers), SLICE))
 
 
-_loaded: dict[str, tuple[Vocabulary, Words]] = {}
+@lru_cache
+def _words(path: str) -> Words:
+    """One vocabulary and one memory of words for a worker process."""
+    return Words(Vocabulary(path))
 
 
-def _worker(path: str) -> tuple[Vocabulary, Words]:
-    """One vocabulary and one cache for a worker process."""
-    if path not in _loaded:
-        vocabulary = Vocabulary(path)
-        _loaded[path] = (vocabulary, Words(vocabulary))
-    return _loaded[path]
+@lru_cache
+def _tokens(path: str) -> dict[int, bytes]:
+    """A worker that only decodes holds no merges and no words."""
+    return token_bytes(_read(path))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -312,7 +324,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        words = _worker(path)[1]
+        words = _words(path)
         ids = [encode_text(words, t) if t else b"" for t in rows.column(len(kept)).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*rows.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -327,7 +339,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "decod
     schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        tokens = _worker(path)[0].tokens
+        tokens = _tokens(path)
         texts = [decode_ids(tokens, i) if i else "" for i in rows.column(len(kept)).to_pylist()]
         return pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(texts, pa.string())], names=[*kept, to])
 

@@ -210,13 +210,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = judge(known.value, rows.column(len(kept)).to_pylist())
+        found = judge(known.value, rows.column(columns.index(text_col)).to_pylist())
         return pa.RecordBatch.from_arrays(
-            [*rows.columns[:-1], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()),
+            [*rows.columns[:len(kept)], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()),
              pa.array(found[2], pa.float64())], names=[*kept, *names])
 
-    text = F.col(text_col).alias("_text")
-    return map_batches(docs.select(*kept, text), batch,
+    columns = kept if text_col in kept else [*kept, text_col]  # the text travels once
+    return map_batches(docs.select(*columns), batch,
                        f"{schema}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` double")
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tastegraph.workspace import materialize
 
-#: Rows handed to a Python worker at once: texts of a few KB, so a few MB.
-BATCH_ROWS = 1000
+#: Rows handed to a Python worker at once: texts of a few KB, so about a MB.
+BATCH_ROWS = 256
 
 
 def small_batches(df: DataFrame) -> None:
