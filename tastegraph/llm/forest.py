@@ -12,8 +12,11 @@ without ever being listed; for the components, a chain stands for the links
 found in one task.
 
 The directions need nothing from the data, the thresholds a sample of at most
-`SAMPLE` vectors; every vector is indexed. Depth grows by one with each
-doubling, leaves do not.
+`SAMPLE` vectors; every vector is indexed. Depth grows with the number of
+vectors, leaves do not, and the deeper a tree, the more pairs it parts: trees
+are added until `RECALL` of modelled pairs meet in some leaf, each a sampled
+vector and one at the least cosine from it, turned towards another of the
+sample. Without a split one tree compares every pair.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components link with nothing and are their own component; so are vectors
@@ -33,7 +36,11 @@ from tastegraph.llm.components import components
 from tastegraph.llm.simhash import fold
 from tastegraph.llm.tables import map_batches, numbered, sorted_groups, written
 
+#: Trees where anything is split, at least and at most.
 TREES = 8
+MOST_TREES = 256
+#: Share of the modelled pairs at the least cosine that meet in some leaf.
+RECALL = 0.999
 LEAF_ROWS = 1024
 #: Rows of a leaf compared in one task at most, twice that for two parts.
 PART_ROWS = 1024
@@ -42,7 +49,7 @@ DIRECTIONS = 32
 SAMPLE = 4096
 #: A vector this near a threshold goes both ways, in units of the spread of a
 #: random projection of a unit vector.
-SPILL = 0.08
+SPILL = 0.25
 #: Thresholds are drawn from this middle part of the sample's projections.
 MIDDLE = (0.35, 0.65)
 SEED = 42
@@ -60,22 +67,12 @@ def _units(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
-def _directions(size: int, trees: int) -> np.ndarray:
-    """For vectors of `size`: a column for each direction of each tree."""
-    found = np.random.default_rng([SEED, size]).standard_normal((size, trees * DIRECTIONS))
+def _directions(size: int, tree: int) -> np.ndarray:
+    """For vectors of `size`: a column for each direction of a tree."""
+    found = np.random.default_rng([SEED, size, tree]).standard_normal((size, DIRECTIONS))
     return found / np.linalg.norm(found, axis=0)
 
 
-def thresholds(sample: list, trees: int) -> dict[int, np.ndarray]:
-    """For each length of vectors in the sample: a row for each direction, of
-    `STEPS` thresholds in its middle."""
-    by_size: dict[int, list] = {}
-    for vector in sample:
-        by_size.setdefault(len(vector), []).append(vector)
-    return {n: np.quantile(_units(np.array(v)) @ _directions(n, trees), np.linspace(*MIDDLE, STEPS), axis=0).T
-            for n, v in by_size.items()}
-
-
 def _drawn(path: np.ndarray) -> np.ndarray:
     """Random bits of a node."""
     mixed = path.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -84,33 +81,81 @@ def _drawn(path: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def leaves(units: np.ndarray, trees: int, depth: int, known: dict[int, np.ndarray], spill: float) -> list[list[int]]:
-    """For unit vectors of one length: the leaves of each, in order. A leaf is
-    the tree's number and the path from its root."""
+def _descend(units: np.ndarray, tree: int, depth: int, cuts: np.ndarray, spill: float) -> tuple[np.ndarray, np.ndarray]:
+    """For unit vectors of one length: rows and their leaves in a tree."""
     size = units.shape[1]
-    projected = units @ _directions(size, trees)
-    cuts = known.get(size, np.zeros((trees * DIRECTIONS, STEPS)))
+    projected = units @ _directions(size, tree)
     margin = spill / np.sqrt(size)
-    rows, paths = [], []
-    for tree in range(trees):
-        row = np.arange(len(units))
-        path = np.full(len(units), (tree << 48) | 1, dtype=np.int64)
-        for _ in range(depth):
-            bits = _drawn(path)
-            column = tree * DIRECTIONS + (bits % np.uint64(DIRECTIONS)).astype(np.int64)
-            away = projected[row, column] - cuts[column, (bits >> np.uint64(40)).astype(np.int64) % STEPS]
-            right, left = away >= -margin, away < margin
-            following = (path & ((1 << 48) - 1)) << 1 | (tree << 48)
-            row = np.concatenate([row[left], row[right]])
-            path = np.concatenate([following[left], following[right] | 1])
-        rows.append(row)
-        paths.append(path)
-    row, path = np.concatenate(rows), np.concatenate(paths)
+    row = np.arange(len(units))
+    path = np.full(len(units), (tree << 48) | 1, dtype=np.int64)
+    for _ in range(depth):
+        bits = _drawn(path)
+        column = (bits % np.uint64(DIRECTIONS)).astype(np.int64)
+        away = projected[row, column] - cuts[column, (bits >> np.uint64(40)).astype(np.int64) % STEPS]
+        right, left = away >= -margin, away < margin
+        following = (path & ((1 << 48) - 1)) << 1 | (tree << 48)
+        row = np.concatenate([row[left], row[right]])
+        path = np.concatenate([following[left], following[right] | 1])
+    return row, path
+
+
+def leaves(units: np.ndarray, trees: int, depth: int, known: dict[int, list[np.ndarray]], spill: float) -> list[list[int]]:
+    """For unit vectors of one length: the leaves of each, in order. A leaf is
+    the tree's number and the path from its root."""
+    cuts = known.get(units.shape[1], [np.zeros((DIRECTIONS, STEPS))] * trees)
+    row, path = map(np.concatenate, zip(*(_descend(units, tree, depth, cuts[tree], spill) for tree in range(trees))))
     order = np.lexsort((path, row))
     cut = np.searchsorted(row[order], np.arange(1, len(units)))
     return [p.tolist() for p in np.split(path[order], cut)]
 
 
+def _partners(units: np.ndarray, cosine: float) -> np.ndarray:
+    """For each unit vector one at this cosine, turned towards another of them
+    or, where all are alike, anywhere."""
+    chance = np.random.default_rng([SEED, len(units)])
+    aside = np.zeros_like(units)
+    for other in (np.roll(units, 1, axis=0), chance.standard_normal(units.shape)):
+        other = other - (other * units).sum(axis=1, keepdims=True) * units
+        length = np.linalg.norm(other, axis=1, keepdims=True)
+        aside = np.where(~aside.any(axis=1, keepdims=True) & (length > 1e-6), other / np.maximum(length, 1e-6), aside)
+    return cosine * units + np.sqrt(max(0.0, 1 - cosine * cosine)) * aside
+
+
+def _meet(both: np.ndarray, tree: int, depth: int, cuts: np.ndarray, spill: float) -> np.ndarray:
+    """Which vectors of the first half share a leaf of the tree with their
+    counterparts in the second."""
+    pairs = len(both) // 2
+    row, path = _descend(both, tree, depth, cuts, spill)
+    pair = row % pairs
+    order = np.lexsort((path, pair))
+    pair, path = pair[order], path[order]
+    met = np.zeros(pairs, dtype=bool)
+    met[pair[1:][(pair[1:] == pair[:-1]) & (path[1:] == path[:-1])]] = True
+    return met
+
+
+def grow(sample: list, least: float, depth: int, trees: int = TREES, spill: float = SPILL,
+         recall: float = RECALL) -> tuple[int, dict[int, list[np.ndarray]]]:
+    """How many trees it takes, `trees` or more where anything is split, and for
+    each length of vectors in the sample a table for each tree: a row for each
+    direction, of `STEPS` thresholds in the sample's middle."""
+    by_size: dict[int, list] = {}
+    for vector in sample:
+        by_size.setdefault(len(vector), []).append(vector)
+    units = {n: _units(np.array(v)) for n, v in by_size.items()}
+    both = {n: np.concatenate([u, _partners(u, least)]) for n, u in units.items() if n > 1}
+    met = {n: np.zeros(len(b) // 2, dtype=bool) for n, b in both.items()}
+    known: dict[int, list[np.ndarray]] = {n: [] for n in units}
+    for tree in range(MOST_TREES):
+        for n, own in units.items():
+            known[n].append(np.quantile(own @ _directions(n, tree), np.linspace(*MIDDLE, STEPS), axis=0).T)
+        for n, pairs in both.items():
+            met[n] |= _meet(pairs, tree, depth, known[n][tree], spill)
+        if tree + 1 >= (trees if depth else 1) and all(m.mean() >= recall for m in met.values()):
+            return tree + 1, known
+    raise ValueError(f"{MOST_TREES} trees with a spill of {spill} don't find {recall} of the pairs at {least}")
+
+
 def _first_meeting(lists: list[list[int]], leaf: int) -> np.ndarray:
     """Which pairs of rows share no leaf before this one."""
     found = [(i, k) for i, row in enumerate(lists) for k in row if k < leaf]
@@ -159,7 +204,7 @@ def _compare(least: float):
 
 def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding",
                  trees: int = TREES, leaf_rows: int = LEAF_ROWS, part_rows: int = PART_ROWS,
-                 spill: float = SPILL) -> DataFrame:
+                 spill: float = SPILL, recall: float = RECALL) -> DataFrame:
     """One row per row of `vectors`: the id, `n_links` (other rows at a cosine
     of `least` or more that were found), `component_id` (the smallest id
     reachable) and `kept` (whether that is its own)."""
@@ -174,7 +219,7 @@ def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vecto
     spilled = 2 * spill / np.sqrt(2 * np.pi)
     depth = max(0, int(np.ceil(np.log(max(count, 1) / leaf_rows) / np.log(2 / (1 + spilled)))))
     sample = classes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE).select("vector").collect()
-    known = thresholds([r["vector"] for r in sample], trees)
+    trees, known = grow([r["vector"] for r in sample], least, depth, trees, spill, recall)
 
     def index(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes = pa.compute.list_value_length(batch.column(2)).to_numpy()
@@ -191,8 +236,9 @@ def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vecto
 
     indexed = written(map_batches(classes.select("node", "copies", "vector"), index,
                                   "node long, copies long, unit array<double>, leaves array<long>"), "indexed")
-    # a vector travels once for each of its leaves, and its leaves with it
-    placed = indexed.select(F.explode("leaves").alias("leaf"), F.size("unit").alias("size"), "node", "copies", "unit", "leaves")
+    # a vector travels once for each of its leaves, and its leaves before that with it
+    placed = indexed.select(F.posexplode("leaves").alias("before", "leaf"), F.size("unit").alias("size"), "node", "copies", "unit",
+                            "leaves").withColumn("leaves", F.slice("leaves", F.lit(1), F.col("before"))).drop("before")
     counts = written(indexed.select(F.explode("leaves").alias("leaf"), F.size("unit").alias("size"))
                      .groupBy("leaf", "size").count().where("count > 1"), "leaf-counts")
     spread = (placed.join(counts, ["leaf", "size"])

@@ -404,3 +404,31 @@ def test_forest_finds_what_brute_force_finds(spark):
     assert all(found[i].kept == (found[i].component_id == i) for i in found)
     assert all((found[i].n_links, found[i].component_id) == (0, i) for i, _ in bad)
     assert forest.near_vectors(frame.limit(0), 0.9).count() == 0
+
+
+def _pairs_at(cosine, pairs, size):
+    chance = np.random.default_rng(13)
+    left = forest._units(chance.normal(size=(pairs, size)))
+    aside = chance.normal(size=left.shape)
+    aside = forest._units(aside - (aside * left).sum(axis=1, keepdims=True) * left)
+    return np.concatenate([left, cosine * left + np.sqrt(1 - cosine ** 2) * aside])
+
+
+def test_deep_trees_keep_pairs_at_the_least_cosine(spark):
+    vectors = _pairs_at(0.901, 600, 16)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = forest.near_vectors(frame, 0.9, leaf_rows=1).collect()  # 14 levels
+    near = vectors @ vectors.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum() >= 1200 and 0.995 * near.sum() <= sum(r.n_links for r in found) <= near.sum()
+
+
+def test_trees_are_added_until_pairs_meet():
+    both = _pairs_at(0.9, 2000, 32)
+    for depth, spill in ((0, 0.25), (17, 0.25), (17, 0.08)):
+        trees, known = forest.grow(list(both[:2000]), 0.9, depth, spill=spill)
+        met = np.any([forest._meet(both, t, depth, known[32][t], spill) for t in range(trees)], axis=0)
+        assert met.mean() >= 0.99 and (trees == 1 if depth == 0 else trees >= forest.TREES)
+        assert trees > 8 or spill == 0.25
+    with pytest.raises(ValueError):
+        forest.grow(list(both[:50]), 0.1, 30, spill=0.0)
