@@ -1,11 +1,13 @@
 """Licences of files, from headers and by directory.
 
-Template texts span a small vocabulary. A scan counts in how many texts of the
-corpus each term occurs, and cuts out header blocks: runs of lines that each
-hold at least two of its terms; the whole text is one more block. Weights are
-tf times ln((1 + texts) / (1 + texts with the term)) + 1; words that no template
-has weigh 1 each and only lengthen the block. The cosine to every template is a
-join of sparse vectors on the term. A file whose whole text is like a template,
+A first scan counts in how many texts of the corpus each word occurs. A second
+cuts out header blocks: runs of lines that each hold at least two of the terms
+of the templates; the whole text is one more block. Weights of all words but the
+commonest are tf times ln((1 + texts) / (1 + texts with the word)) + 1. Templates
+span a small vocabulary, whose weights the scan knows; as no word weighs less
+than 1, it also knows what cosine a block can have at most. The other words of
+the blocks that may be like a template are joined with their counts for the
+norm. A file whose whole text is like a template,
 or that is named as a licence, licenses its directory; files without a header
 of their own inherit from the nearest directory above.
 
@@ -18,9 +20,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.llm.tables import map_batches, numbered, written
 
@@ -65,7 +69,8 @@ LEAST_TERMS = 2
 HEADER_COSINE = 0.6
 FILE_COSINE = 0.6
 NAMES = r"(?i)(^|/)(un)?(licen[cs]e|copying)[^/]*$"
-BLOCKS = "array<struct<start:int,stop:int,other:int,terms:array<struct<term:string,tf:int>>>>"
+BLOCKS = ("array<struct<kind:int,start:int,stop:int,licence:string,dot:double,square:double,"
+          "others:array<struct<term:string,tf:int>>>>")
 HEADER, WHOLE = 0, 1
 
 
@@ -76,19 +81,47 @@ def words(text: str) -> list[str]:
 VOCABULARY = frozenset(w for texts in TEMPLATES.values() for t in texts for w in words(t)) - COMMON
 
 
-def _block(text: str, start: int, stop: int) -> dict:
-    counts = Counter(w for w in words(text[start:stop]) if w not in COMMON)
-    terms = [{"term": w, "tf": n} for w, n in sorted(counts.items()) if w in VOCABULARY]
-    return {"start": start, "stop": stop, "other": sum(counts.values()) - sum(t["tf"] for t in terms), "terms": terms}
+class Templates(NamedTuple):
+    """A row of `weights` for each term, a column of length 1 for each template;
+    templates in the order of their licences."""
+    licences: list[str]
+    rows: dict[str, int]
+    idf: np.ndarray
+    weights: np.ndarray
+
+
+def templates(idf: dict[str, float]) -> Templates:
+    """With these weights of the terms. Fixed size."""
+    found = [(licence, Counter(words(t))) for licence, texts in sorted(TEMPLATES.items()) for t in texts]
+    rows = {term: n for n, term in enumerate(sorted(idf))}
+    known = np.array([idf[term] for term in rows])
+    weights = np.array([[tf[term] for _, tf in found] for term in rows]) * known[:, None]
+    return Templates([licence for licence, _ in found], rows, known, weights / np.linalg.norm(weights, axis=0))
 
 
-def scan_text(text: str) -> tuple[list[str], list[dict]]:
-    """The text's template terms, and its blocks: the headers, in code points,
-    and last the whole text, if it has any term."""
-    present = VOCABULARY.intersection(words(text))
-    if not present:
-        return [], []
-    blocks: list[dict] = []
+def _block(text: str, start: int, stop: int, kind: int, like: Templates, least: float) -> dict | None:
+    """None if its cosine can't be 0 < `least` or more. `square` is the square
+    of the length that the terms of templates give, `others` the other words."""
+    counts = Counter(w for w in words(text[start:stop]) if w not in COMMON)
+    terms = [(like.rows[w], n) for w, n in sorted(counts.items()) if w in like.rows]
+    row, tf = np.array(terms).reshape(-1, 2).T.astype(int)
+    x = tf * like.idf[row]
+    dots = np.round(x @ like.weights[row], 12)
+    best, square = int(np.argmax(dots)), float(x @ x)
+    others = [(w, n) for w, n in sorted(counts.items()) if w not in like.rows]
+    at_most = dots[best] / np.sqrt(max(square + sum(n * n for _, n in others), 1e-9))
+    if at_most <= 0 or at_most < least - 1e-6:
+        return None
+    return {"kind": kind, "start": start, "stop": stop, "licence": like.licences[best], "dot": float(dots[best]),
+            "square": square, "others": [{"term": w, "tf": n} for w, n in others]}
+
+
+def scan_text(text: str, like: Templates, header_cosine: float, file_cosine: float) -> list[dict]:
+    """The text's blocks that may be like a template: headers, in code points,
+    and last the whole text."""
+    if VOCABULARY.isdisjoint(words(text)):
+        return []
+    blocks = []
     start = at = 0
     inside = False
     for line in text.splitlines(keepends=True):
@@ -96,22 +129,25 @@ def scan_text(text: str) -> tuple[list[str], list[dict]]:
         if telling and not inside:
             start = at
         elif inside and not telling:
-            blocks.append(_block(text, start, at))
+            blocks.append(_block(text, start, at, HEADER, like, header_cosine))
         inside = telling
         at += len(line)
     if inside:
-        blocks.append(_block(text, start, at))
-    return sorted(present), [*blocks, _block(text, 0, len(text))]
+        blocks.append(_block(text, start, at, HEADER, like, header_cosine))
+    blocks.append(_block(text, 0, len(text), WHOLE, like, file_cosine))
+    return [b for b in blocks if b]
 
 
-def _template_weights(spark: SparkSession, frequency: DataFrame) -> DataFrame:
-    """(term, template, licence, weight), each template of length 1. Fixed size."""
-    rows = [(licence, f"{licence}/{n}", w, tf) for licence, texts in TEMPLATES.items() for n, t in enumerate(texts)
-            for w, tf in Counter(x for x in words(t) if x in VOCABULARY).items()]
-    raw = (spark.createDataFrame(rows, "licence string, template string, term string, tf int").join(frequency, "term")
-           .select("licence", "template", "term", (F.col("tf") * F.col("idf")).alias("w")))
-    norm = raw.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "template").select("licence", "template", "term", (F.col("w") / F.col("norm")).alias("weight"))
+def document_frequency(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, texts): in how many texts each word but the commonest occurs; how
+    many texts there are, with a null term."""
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        seen = Counter(w for t in rows.column(0).to_pylist() if t for w in set(words(t)) - COMMON)
+        return pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.string()), pa.array([rows.num_rows, *seen.values()], pa.int64())],
+                                          names=["term", "texts"])
+
+    return written(map_batches(docs.select(text_col), batch, "term string, texts long")
+                   .groupBy("term").agg(F.sum("texts").alias("texts")), "document-frequency")
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path",
@@ -121,36 +157,30 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     header blocks like a template (start, stop, licence, cosine)."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    spark, frequency = docs.sparkSession, document_frequency(docs, text_col)
+    texts = sum(r["texts"] for r in frequency.where("term is null").collect())
+    idf = F.log(F.lit(1.0 + texts) / (1 + F.coalesce("texts", F.lit(0)))) + 1
+    vocabulary = spark.createDataFrame([(w,) for w in sorted(VOCABULARY)], "term string")
+    like = templates({r["term"]: r["idf"] for r in
+                      F.broadcast(vocabulary).join(frequency, "term", "left").select("term", idf.alias("idf")).collect()})
+
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = [scan_text(t) if t else ([], []) for t in rows.column(2).to_pylist()]
+        paths, found = rows.column(1).to_pylist(), rows.column(2).to_pylist()
+        blocks = [scan_text(t, like, header_cosine, 0.0 if p and re.search(NAMES, p) else file_cosine) if t else []
+                  for p, t in zip(paths, found)]
         term = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int32())]))
-        block = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("other", pa.int32()), ("terms", term)]))
-        return pa.RecordBatch.from_arrays(
-            [*rows.columns[:2], pa.array([p for p, _ in found], pa.list_(pa.string())), pa.array([b for _, b in found], block)],
-            names=["id", "path", "present", "blocks"])
+        block = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("licence", pa.string()),
+                                    ("dot", pa.float64()), ("square", pa.float64()), ("others", term)]))
+        return pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(blocks, block)], names=["id", "path", "blocks"])
 
     scanned = numbered(map_batches(docs.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), text_col),
-                                   batch, f"id {id_type}, path string, present array<string>, blocks {BLOCKS}"), "licence-scan")
-    spark, texts = docs.sparkSession, scanned.count()
-    vocabulary = spark.createDataFrame([(w,) for w in sorted(VOCABULARY)], "term string")
-    counts = scanned.select(F.explode("present").alias("term")).groupBy("term").count()
-    frequency = written(vocabulary.join(counts, "term", "left").select("term", (F.log(
-        F.lit(1.0 + texts) / (1 + F.coalesce("count", F.lit(0)))) + 1).alias("idf")), "idf")
-    weights = written(_template_weights(spark, frequency), "templates")
-    blocks = scanned.select("row_id", F.size("blocks").alias("n"), F.posexplode("blocks").alias("block", "b")).select(
-        "row_id", "block", F.when(F.col("block") == F.col("n") - 1, WHOLE).otherwise(HEADER).alias("kind"), "b.*")
-    terms = (blocks.select("row_id", "block", "kind", "start", "stop", "other", F.inline("terms"))
-             .join(F.broadcast(frequency), "term")
-             .withColumn("x", F.col("tf") * F.col("idf")))
+                                   batch, f"id {id_type}, path string, blocks {BLOCKS}"), "licence-scan")
     key = ["row_id", "block"]
-    norms = terms.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x")) + F.first("other")).alias("norm"))
-    dots = (terms.join(F.broadcast(weights), "term").groupBy(*key, "kind", "start", "stop", "template", "licence")
-            .agg(F.sum(F.col("x") * F.col("weight")).alias("dot")))
-    cosine = F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")
-    best = written(dots.join(norms, key).select(*key, "kind", "start", "stop", "licence", cosine)
-                   .groupBy(*key, "kind", "start", "stop")
-                   .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
-                   .select(*key, "kind", "start", "stop", "best.licence", (-F.col("best.minus")).alias("cosine")), "blocks")
+    blocks = scanned.select("row_id", F.posexplode("blocks").alias("block", "b")).select(*key, "b.*")
+    norms = (blocks.select(*key, F.inline("others")).join(frequency, "term", "left")
+             .groupBy(key).agg(F.sum((F.col("tf") * idf) ** 2).alias("others")))
+    cosine = F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce(norms["others"], F.lit(0.0))), 9).alias("cosine")
+    best = written(blocks.drop("others").join(norms, key, "left").select(*key, "kind", "start", "stop", "licence", cosine), "blocks")
     order = F.struct((-F.col("cosine")).alias("minus"), "licence")
     headers = (best.where((F.col("kind") == HEADER) & (F.col("cosine") >= header_cosine)).groupBy("row_id").agg(
         F.min(order).alias("header"), F.array_sort(F.collect_list(F.struct("start", "stop", "licence", "cosine"))).alias("headers")))

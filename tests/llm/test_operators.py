@@ -225,6 +225,25 @@ def test_licence_lines_of_the_tables(docs, texts):
         assert ({r.licence} if r.origin == "header" else set()) == said or len(said) > 1
 
 
+def test_prose_with_a_licence_line_licenses_only_itself(spark):
+    prose = " ".join(f"word{n}" for n in range(300))
+    rows = [(1, "a/x.txt", f"{prose}\nReleased under the MIT License.\n"), (2, "a/y.txt", "plain words"),
+            (3, "b/x.txt", "Released under the MIT License."), (4, "b/y.txt", "plain words")]
+    rows += [(n, f"c/{n}.txt", f"filler {n}") for n in range(5, 5000)]
+    found = {r.doc_id: r for r in licences.detect(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert {i: (found[i].licence, found[i].origin) for i in (1, 2, 3, 4)} == {
+        1: ("MIT", "header"), 2: (None, "none"), 3: ("MIT", "header"), 4: ("MIT", "inherited")}
+
+
+def test_cosines_weigh_all_words_by_the_corpus(spark):
+    rows = [(1, "a/x", "Licensed under the ISC License strange strange word"), (2, "b/x", "word"), (3, "c/x", None), (4, "d/x", "word isc")]
+    found = {r.doc_id: r for r in licences.detect(spark.createDataFrame(rows, "doc_id long, path string, text string"), header_cosine=0.1).collect()}
+    idf = {w: math.log(5 / (1 + n)) + 1 for w, n in {"licensed": 1, "under": 1, "isc": 2, "license": 1, "strange": 1, "word": 3}.items()}
+    template = sum(idf[w] ** 2 for w in ("licensed", "under", "isc", "license"))
+    whole = template + (2 * idf["strange"]) ** 2 + idf["word"] ** 2
+    assert found[1].licence == "ISC" and abs(found[1].cosine - math.sqrt(template / whole)) < 1e-8
+
+
 # 6: exact duplicates
 
 def test_cuts_follow_the_content_and_lose_nothing(spark):
