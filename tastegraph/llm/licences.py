@@ -2,13 +2,14 @@
 
 A first scan counts in how many texts of the corpus each word occurs. A second
 cuts out header blocks: runs of lines that each hold at least two of the terms
-of the templates; the whole text is one more block. Weights of all words but the
+of the notices; the whole text is one more block. Weights of all words but the
 commonest are tf times ln((1 + texts) / (1 + texts with the word)) + 1. Templates
-span a small vocabulary, whose weights the scan knows; as no word weighs less
+are notices and full texts of licences and span a small vocabulary, whose weights the scan knows; as no word weighs less
 than 1, it also knows what cosine a block can have at most. The other words of
 the blocks that may be like a template are joined with their counts for the
-norm. A file whose whole text is like a template,
-or that is named as a licence, licenses its directory; files without a header
+norm. A file whose whole text is like a template
+licenses its directory, whatever its name, and is itself under the licence whose
+full text it holds; files without a header
 of their own inherit from the nearest directory above.
 
 Defined results: null and empty texts have no header and inherit; a null path
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from importlib.resources import files
 from typing import NamedTuple
 
 import numpy as np
@@ -61,6 +63,8 @@ TEMPLATES = {
             "documentation files, to deal in the Software without restriction"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
 }
+#: The full texts, one for each licence.
+FULL_TEXTS = {licence: (files("tastegraph.llm") / "licence_texts" / f"{licence}.txt").read_text("utf-8") for licence in TEMPLATES}
 #: Words that say nothing of a licence.
 COMMON = set("a an and any are as at by can form file files for from in is it may not of or other that the this to use "
              "with without work you your code copy met either following all no on be".split())
@@ -68,23 +72,26 @@ WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 LEAST_TERMS = 2
 HEADER_COSINE = 0.6
 FILE_COSINE = 0.6
-NAMES = r"(?i)(^|/)(un)?(licen[cs]e|copying)[^/]*$"
 BLOCKS = ("array<struct<kind:int,start:int,stop:int,licence:string,dot:double,square:double,"
           "others:array<struct<term:string,tf:int>>>>")
-HEADER, WHOLE = 0, 1
+#: A header, a whole text most like a notice, a whole text most like a full text.
+HEADER, WHOLE, FULL = range(3)
 
 
 def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+#: The terms of the notices, and those of all templates.
 VOCABULARY = frozenset(w for texts in TEMPLATES.values() for t in texts for w in words(t)) - COMMON
+TERMS = VOCABULARY.union(*(words(t) for t in FULL_TEXTS.values())) - COMMON
 
 
 class Templates(NamedTuple):
     """A row of `weights` for each term, a column of length 1 for each template;
     templates in the order of their licences."""
     licences: list[str]
+    full: list[bool]
     rows: dict[str, int]
     idf: np.ndarray
     weights: np.ndarray
@@ -92,11 +99,12 @@ class Templates(NamedTuple):
 
 def templates(idf: dict[str, float]) -> Templates:
     """With these weights of the terms. Fixed size."""
-    found = [(licence, Counter(words(t))) for licence, texts in sorted(TEMPLATES.items()) for t in texts]
+    found = [(licence, full, Counter(words(t))) for licence, texts in sorted(TEMPLATES.items())
+             for full, t in [*((False, t) for t in texts), (True, FULL_TEXTS[licence])]]
     rows = {term: n for n, term in enumerate(sorted(idf))}
     known = np.array([idf[term] for term in rows])
-    weights = np.array([[tf[term] for _, tf in found] for term in rows]) * known[:, None]
-    return Templates([licence for licence, _ in found], rows, known, weights / np.linalg.norm(weights, axis=0))
+    weights = np.array([[tf[term] for *_, tf in found] for term in rows]) * known[:, None]
+    return Templates([licence for licence, *_ in found], [full for _, full, _ in found], rows, known, weights / np.linalg.norm(weights, axis=0))
 
 
 def _block(text: str, start: int, stop: int, kind: int, like: Templates, least: float) -> dict | None:
@@ -112,6 +120,8 @@ def _block(text: str, start: int, stop: int, kind: int, like: Templates, least:
     at_most = dots[best] / np.sqrt(max(square + sum(n * n for _, n in others), 1e-9))
     if at_most <= 0 or at_most < least - 1e-6:
         return None
+    if kind == WHOLE and like.full[best]:
+        kind = FULL
     return {"kind": kind, "start": start, "stop": stop, "licence": like.licences[best], "dot": float(dots[best]),
             "square": square, "others": [{"term": w, "tf": n} for w, n in others]}
 
@@ -160,14 +170,12 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     spark, frequency = docs.sparkSession, document_frequency(docs, text_col)
     texts = sum(r["texts"] for r in frequency.where("term is null").collect())
     idf = F.log(F.lit(1.0 + texts) / (1 + F.coalesce("texts", F.lit(0)))) + 1
-    vocabulary = spark.createDataFrame([(w,) for w in sorted(VOCABULARY)], "term string")
+    vocabulary = spark.createDataFrame([(w,) for w in sorted(TERMS)], "term string")
     like = templates({r["term"]: r["idf"] for r in
                       F.broadcast(vocabulary).join(frequency, "term", "left").select("term", idf.alias("idf")).collect()})
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        paths, found = rows.column(1).to_pylist(), rows.column(2).to_pylist()
-        blocks = [scan_text(t, like, header_cosine, 0.0 if p and re.search(NAMES, p) else file_cosine) if t else []
-                  for p, t in zip(paths, found)]
+        blocks = [scan_text(t, like, header_cosine, file_cosine) if t else [] for t in rows.column(2).to_pylist()]
         term = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int32())]))
         block = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("licence", pa.string()),
                                     ("dot", pa.float64()), ("square", pa.float64()), ("others", term)]))
@@ -184,14 +192,14 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     order = F.struct((-F.col("cosine")).alias("minus"), "licence")
     headers = (best.where((F.col("kind") == HEADER) & (F.col("cosine") >= header_cosine)).groupBy("row_id").agg(
         F.min(order).alias("header"), F.array_sort(F.collect_list(F.struct("start", "stop", "licence", "cosine"))).alias("headers")))
-    whole = best.where(F.col("kind") == WHOLE).select("row_id", F.col("licence").alias("file_licence"),
-                                                      F.col("cosine").alias("file_cosine"))
+    whole = best.where((F.col("kind") != HEADER) & (F.col("cosine") >= file_cosine)).select(
+        "row_id", F.col("licence").alias("file_licence"), F.col("cosine").alias("file_cosine"),
+        F.when(F.col("kind") == FULL, order).alias("full"))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")
     judged = written(
         scanned.select("row_id", "id", "path", directory.alias("dir")).join(headers, "row_id", "left")
-        .join(whole, "row_id", "left"), "judged")
-    licensing = (F.col("file_cosine") >= file_cosine) | F.col("path").rlike(NAMES) & F.col("file_licence").isNotNull()
-    dirs = written(judged.where(licensing & F.col("dir").isNotNull()).groupBy(F.col("dir").alias("from_dir")).agg(
+        .join(whole, "row_id", "left").withColumn("header", F.coalesce("full", "header")).drop("full"), "judged")
+    dirs = written(judged.where(F.col("file_licence").isNotNull() & F.col("dir").isNotNull()).groupBy(F.col("dir").alias("from_dir")).agg(
         F.min(F.struct((-F.col("file_cosine")).alias("minus"), F.col("file_licence").alias("licence"))).alias("given")), "dirs")
     # every directory with those above it, down from itself to the root, ""
     parts = F.split("dir", "/")

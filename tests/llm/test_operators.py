@@ -244,6 +244,31 @@ def test_cosines_weigh_all_words_by_the_corpus(spark):
     assert found[1].licence == "ISC" and abs(found[1].cosine - math.sqrt(template / whole)) < 1e-8
 
 
+def test_full_licence_texts(spark):
+    rows, said = [], {}
+    for licence, text in licences.FULL_TEXTS.items():
+        rows += [(f"{licence}/LICENSE", text), (f"{licence}/src/x.txt", "plain words"),
+                 (f"{licence}2/ABOUT", "Copyright 2020 some author\n\n" + text), (f"{licence}2/x.txt", None)]
+        said |= {d + f: licence for d in (licence, f"{licence}2") for f in ("/LICENSE", "/src/x.txt", "/ABOUT", "/x.txt")}
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(licences.FULL_TEXTS)
+    # a name alone says nothing
+    rows += [("n/LICENSE", " ".join(f"price{n}" for n in range(200)) + " of a public version"), ("n/x.txt", "plain words")]
+    rows += [(f"f/{n}.txt", f"filler {n}") for n in range(500)]
+    docs = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], "doc_id long, path string, text string")
+    found = {r.path: r.licence for r in licences.detect(docs).collect()}
+    assert {p: found[p] for p, _ in rows if p in said} == {p: said[p] for p, _ in rows if p in said}
+    assert found["n/LICENSE"] is None and found["n/x.txt"] is None
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no licence files")
+def test_licence_files_of_the_system(spark):
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(n, f"{n}/LICENSE", open(f"/usr/share/common-licenses/{n}", encoding="utf-8").read()) for n in names]
+    rows += [(f"{n}/x", f"{n}/x", "plain words") for n in names]
+    found = licences.detect(spark.createDataFrame(rows, "doc_id string, path string, text string")).collect()
+    assert {r.doc_id: r.licence for r in found} == names | {f"{n}/x": licence for n, licence in names.items()}
+
+
 # 6: exact duplicates
 
 def test_cuts_follow_the_content_and_lose_nothing(spark):
