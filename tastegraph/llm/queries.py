@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, language, licences, mixing, repeats, secrets, surrogates
+from tastegraph.llm import bpe, language, licences, mixing, packing, repeats, secrets, surrogates
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.forest import near_vectors
 from tastegraph.llm.simhash import simhash_groups
@@ -84,10 +84,15 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
 
 
+def op13_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2,048 ids, id 1 at the end of every document."""
+    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, width=2048)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op5_licence_inheritance,
     op6_exact_dedup, op7_temperature_mixing,
-    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest)}
+    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest, op13_concat_and_cut)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
