@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tastegraph.llm import bpe, language, licences, mixing, packing, repeats, secrets, surrogates
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.forest import near_vectors
+from tastegraph.llm.ranked import ranked_search
 from tastegraph.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +85,11 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
 
 
+def op12_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every item."""
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
 def op13_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 2,048 ids, id 1 at the end of every document."""
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, width=2048)
@@ -92,7 +98,7 @@ def op13_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op5_licence_inheritance,
     op6_exact_dedup, op7_temperature_mixing,
-    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest, op13_concat_and_cut)}
+    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest, op12_norm_buckets, op13_concat_and_cut)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
@@ -118,4 +124,26 @@ ORACLES: dict[str, str] = {
         counted as (select a as vec_id, count(*) as n_links from links group by 1)
         select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
         from least left join counted using (vec_id)""",
+    "op12_norm_buckets": r"""
+        with words as (
+            select 'd' as kind, doc_id as id, text from documents union all select 'i', item_id, text from benchmark),
+        terms as (
+            select kind, id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from words),
+        tf as (select id as doc_id, term, count(*) as tf from terms where kind = 'd' group by 1, 2),
+        lengths as (select doc_id, cast(sum(tf) as bigint) as n from tf group by 1),
+        totals as (select count(*) as docs, cast(sum(n) as bigint) as all_terms from lengths),
+        weights as (
+            select term, cast(floor(1000 * ln((2.0::double * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+            from tf cross join totals group by 1),
+        sizes as (select doc_id, 100 - 25 + ((25 * n * docs) // all_terms) as m from lengths cross join totals),
+        scores as (
+            select t.id as item_id, f.doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+            from terms t join tf f on f.term = t.term join weights g on g.term = t.term join sizes s on s.doc_id = f.doc_id
+            where t.kind = 'i' group by 1, 2),
+        ranked as (
+            select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank
+            from scores where score > 0)
+        select item_id, rank, doc_id, score from ranked where rank <= 20""",
 }
