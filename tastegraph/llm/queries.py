@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.llm import bpe, language, licences, mixing, packing, repeats, secrets, surrogates
+from tastegraph.llm import bpe, language, licences, mixing, packing, repeats, secrets, spelling, surrogates
 from tastegraph.llm.exact_dedup import exact_duplicates
 from tastegraph.llm.forest import near_vectors
 from tastegraph.llm.ranked import ranked_search
@@ -85,6 +85,10 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
 
 
+def op11_variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.corpus_words(_documents(spark, sf_dir)))
+
+
 def op12_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every item."""
     return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
@@ -98,7 +102,8 @@ def op13_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_pii_surrogates, op2_secret_ownership, op3_cross_parsing, op4_simhash_bitslice, op5_licence_inheritance,
     op6_exact_dedup, op7_temperature_mixing,
-    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest, op12_norm_buckets, op13_concat_and_cut)}
+    op8_suffix_dedup, op9_bpe_round_trip, op10_projection_forest, op11_variable_grams,
+    op12_norm_buckets, op13_concat_and_cut)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """

@@ -15,9 +15,9 @@ from tastegraph.workspace import materialize
 BATCH_ROWS = 256
 
 
-def small_batches(df: DataFrame) -> None:
+def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
     """Hands texts to Python in small batches, whatever the session says."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def numbered(df: DataFrame, name: str, column: str = "row_id") -> DataFrame:
