@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tastegraph.functions import as_lists, priority, top_per_group
+from tastegraph.operators.pair_index import PairIndex
+from tastegraph.workspace import materialize
 
 RECENT = 20
 CANDIDATES = 20
+#: Similar products kept per product; more are worked out where a user needs them.
+LIST_DEPTH = 100
 
 
 def user_recent_ratings(ratings: DataFrame, n: int = RECENT, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
@@ -47,6 +51,36 @@ def top_similar_unrated(requests: DataFrame, similar: DataFrame, rated: DataFram
             .select("user_id", "product_id", "rid", "r", "rank"))
 
 
+def top_lists(similar: DataFrame) -> DataFrame:
+    """Ranked lists as `item_cf_sims` gives them, cut at some depth, in the form
+    `top_similar_unrated` reads."""
+    return similar.select("product_id", "rid", "r", F.col("rank").alias("place"))
+
+
+def top_similar_unrated_deep(requests: DataFrame, lists: DataFrame, depth: int, rated: DataFrame, index: PairIndex,
+                             k: int = CANDIDATES) -> DataFrame:
+    """`top_similar_unrated` from lists cut at `depth`. Where a user has rated so
+    much of a cut list that fewer than k are left, the product's whole row is
+    worked out from the index: the result is that of complete lists."""
+    requests = materialize(requests.select("user_id", "product_id").distinct(), "requests")
+    keys = ["user_id", "product_id"]
+    first = materialize(top_similar_unrated(requests, lists.where(F.col("place") <= depth), rated, k), "candidates")
+    full = lists.where(F.col("place") == depth).select("product_id").distinct()
+    enough = first.where(F.col("rank") == k).select(*keys)
+    short = materialize(requests.join(full, "product_id", "left_semi").join(enough, keys, "left_anti"), "short")
+    if short.isEmpty():
+        return first
+    rows = materialize(rank_similar(index.rows(short)), "rows")
+    return first.join(short, keys, "left_anti").unionByName(top_similar_unrated(short, rows, rated, k))
+
+
+def needed_pairs(candidates: DataFrame, recent: DataFrame) -> DataFrame:
+    """(left, right): the pairs whose similarity the scores of these candidates need."""
+    return (candidates.select("user_id", F.col("rid").alias("left"))
+            .join(recent.select("user_id", F.col("product_id").alias("right")), "user_id")
+            .select("left", "right").distinct())
+
+
 def stream_priority_score(candidates: DataFrame, recent: DataFrame, similar: DataFrame) -> DataFrame:
     """Priority of each candidate: (user_id, product_id, score).
 

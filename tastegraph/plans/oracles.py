@@ -89,7 +89,7 @@ recent as (
   where rank <= 20)"""
 
 
-def _candidates(requests: str) -> str:
+def _candidates(requests: str, rated: str = "history") -> str:
     return f"""
 requests as ({requests}),
 candidates as (
@@ -97,12 +97,14 @@ candidates as (
     select q.user_id, q.product_id, s.rid, s.r,
            row_number() over (partition by q.user_id, q.product_id order by s.r desc, s.rid) as rank
     from requests q join sims s on s.product_id = q.product_id
-    where not exists (select 1 from history h where h.user_id = q.user_id and h.product_id = s.rid))
+    where not exists (select 1 from {rated} h where h.user_id = q.user_id and h.product_id = s.rid))
   where rank <= 20)"""
 
 
-_SCORES = f"""{_LIVE},
-{_candidates('select user_id, product_id from recent where rank = 1')},
+def _scores(rated: str) -> str:
+    return f"""{_LIVE},
+rated as (select user_id, product_id from history union select user_id, product_id from live),
+{_candidates('select user_id, product_id from recent where rank = 1', rated)},
 scores as (
   select c.user_id, c.rid as product_id,
          round(avg(s.r * t.score)
@@ -113,6 +115,16 @@ scores as (
   join sims s on s.product_id = c.rid and s.rid = t.product_id
   group by 1, 2)"""
 
+_ITEM_CF = f"""
+with {_RATINGS}, {_co_ratings('ratings')},
+ranked as (select *, row_number() over (partition by product_id order by r desc, rid) as rank from sims)
+select product_id, rid, round(r, 6) as r, cast(rank as int) as rank from ranked where rank <= 5"""
+
+_RANKED_SCORES = """
+select user_id, product_id, score,
+       cast(row_number() over (partition by user_id order by score desc, product_id) as int) as rank
+from scores"""
+
 ORACLES: dict[str, str] = {
     "load_products": f"with {_PRODUCTS} select product_id, name, categories, image_url, tags from products",
     "load_ratings": f"with {_RATINGS} select * from ratings",
@@ -139,10 +151,8 @@ pairs as (
   from vectors a cross join catalogue b where list_dot_product(a.v, b.v) > 0),
 ranked as (select *, row_number() over (partition by vec_id order by r desc, rid) as rank from pairs)
 select vec_id, rid, r, cast(rank as int) as rank from ranked where rank <= 20""",
-    "item_cf_sims": f"""
-with {_RATINGS}, {_co_ratings('ratings')},
-ranked as (select *, row_number() over (partition by product_id order by r desc, rid) as rank from sims)
-select product_id, rid, round(r, 6) as r, cast(rank as int) as rank from ranked where rank <= 5""",
+    "item_cf_sims": _ITEM_CF,
+    "item_cf_sims_increments": _ITEM_CF,
     "content_sims": f"""
 with {_PRODUCTS},
 words as (
@@ -200,10 +210,7 @@ select event_id, user_id, product_id, score, ts, cast(rank as int) as rank from
     "top_similar_unrated": f"""
 with {_LIVE}, {_candidates('select distinct user_id, product_id from live')}
 select user_id, product_id, rid, round(r, 6) as r, cast(rank as int) as rank from candidates""",
-    "stream_priority_score": f"with {_SCORES} select user_id, product_id, score from scores",
-    "stream_recs": f"""
-with {_SCORES}
-select user_id, product_id, score,
-       cast(row_number() over (partition by user_id order by score desc, product_id) as int) as rank
-from scores""",
+    "stream_priority_score": f"with {_scores('history')} select user_id, product_id, score from scores",
+    "stream_recs": f"with {_scores('history')} {_RANKED_SCORES}",
+    "stream_recs_unrated": f"with {_scores('rated')} {_RANKED_SCORES}",
 }

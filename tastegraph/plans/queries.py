@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tastegraph.functions import delimited
+from tastegraph.functions import delimited, year_month
 from tastegraph.operators import content, item_cf, latent, online, popularity
+from tastegraph.operators.co_ratings import CoRatings
 from tastegraph.operators.dense_pairs import best_matches
+from tastegraph.operators.pair_index import PairIndex
 from tastegraph.sources import messages, text, views
+from tastegraph.sources.snapshots import Snapshots
 from tastegraph.streaming import recommender
 from tastegraph.workspace import materialize, new_path
 
@@ -103,6 +106,16 @@ def item_cf_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(item_cf.item_cf_sims(views.ratings(spark, sf_dir)), "r")
 
 
+def item_cf_sims_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`item_cf_sims` with the ratings counted in year by year."""
+    ratings = _written_ratings(spark, sf_dir).withColumn("year", F.floor(year_month("ts") / 100))
+    kept = CoRatings(spark, new_path(spark, "co-ratings"), logs=3)
+    years = [r[0] for r in ratings.select("year").distinct().sort("year").collect()]
+    for increment, year in enumerate(years):
+        kept.add(ratings.where(F.col("year") == year), increment)
+    return _rounded(kept.sims(), "r")
+
+
 def content_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.content_sims(views.products(spark, sf_dir))
 
@@ -122,46 +135,59 @@ def user_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.user_recent_ratings(views.event_ratings(spark, sf_dir))
 
 
-def _live_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """History, live ratings, and all ranked similarities of the history."""
+def _live_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, PairIndex]:
+    """History, live ratings, the most similar products of each product by the
+    history, and the index of its pairs."""
     history, live = (materialize(df, name) for df, name in
                      zip(views.events_split(spark, sf_dir), ("history", "live")))
-    sims = item_cf.item_cf_sims(history, k=None)
-    return history, live, materialize(online.rank_similar(sims), "similar")
+    lists = materialize(online.top_lists(item_cf.item_cf_sims(history, k=online.LIST_DEPTH)), "similar")
+    return history, live, lists, PairIndex.build(history, new_path(spark, "pair-index"))
 
 
 def top_similar_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every live rating."""
-    history, live, similar = _live_tables(spark, sf_dir)
-    return _rounded(online.top_similar_unrated(live, similar, history), "r")
+    history, live, similar, index = _live_tables(spark, sf_dir)
+    return _rounded(online.top_similar_unrated_deep(live, similar, online.LIST_DEPTH, history, index), "r")
 
 
 def stream_priority_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For the state after all live ratings, computed as one batch."""
-    history, live, similar = _live_tables(spark, sf_dir)
+    history, live, similar, index = _live_tables(spark, sf_dir)
     recent = materialize(online.user_recent_ratings(live), "recent")
-    candidates = online.top_similar_unrated(recent.where("rank = 1"), similar, history)
-    return _rounded(online.stream_priority_score(candidates, recent, similar), "score")
+    candidates = materialize(online.top_similar_unrated_deep(
+        recent.where("rank = 1"), similar, online.LIST_DEPTH, history, index), "candidates")
+    pairs = index.similarities(online.needed_pairs(candidates, recent))
+    return _rounded(online.stream_priority_score(candidates, recent, pairs), "score")
 
 
-def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The final table after the live ratings went through the stream."""
-    history, live, similar = _live_tables(spark, sf_dir)
+def _replayed(spark: SparkSession, sf_dir: str, live_rated: bool, store: Snapshots | None = None) -> DataFrame:
+    history, live, similar, index = _live_tables(spark, sf_dir)
     feed, rated, lists, log = (new_path(spark, name) for name in ("feed", "rated", "similar-lists", "stream-recs"))
     messages.format_messages(live).repartition(4).write.parquet(feed)
     recommender.save_rated(history, rated)
     recommender.save_similar(similar, lists)
     query = recommender.start_recommender(
         messages.read_rating_stream(spark, feed, files_per_batch=2), spark.read.parquet(lists), spark.read.parquet(rated),
-        log, new_path(spark, "stream-checkpoint"), interval=None,
-        state_partitions=spark.sparkContext.defaultParallelism)
+        store or log, new_path(spark, "stream-checkpoint"), interval=None,
+        state_partitions=spark.sparkContext.defaultParallelism, index=index, live_rated=live_rated)
     query.awaitTermination()
-    flat = recommender.flat_recs(recommender.latest_recs(spark, log))
+    flat = recommender.flat_recs(recommender.stored_recs(store) if store else recommender.latest_recs(spark, log))
     return online.ranked_recs(flat, OUTPUT_DECIMALS)
 
 
+def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table after the live ratings went through the stream."""
+    return _replayed(spark, sf_dir, live_rated=False)
+
+
+def stream_recs_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without what the user has rated in the stream itself, kept in versions."""
+    store = recommender.rec_store(spark, new_path(spark, "rec-store"), most_folders=2)
+    return _replayed(spark, sf_dir, live_rated=True, store=store)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     load_products, load_ratings, rate_more_products, rate_more_recently_products, average_products,
-    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, item_cf_sims, content_sims_hashed, content_sims,
+    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, item_cf_sims, item_cf_sims_increments, content_sims_hashed, content_sims,
     als_grid_search, rating_rmse, parse_rating_messages, user_recent_ratings, top_similar_unrated,
-    stream_priority_score, stream_recs)}
+    stream_priority_score, stream_recs, stream_recs_unrated)}

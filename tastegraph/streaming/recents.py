@@ -1,4 +1,4 @@
-"""The newest ratings of every user, kept as state of the stream."""
+"""The newest ratings of every user, and what they have rated, kept as state of the stream."""
 
 from __future__ import annotations
 
@@ -19,21 +19,25 @@ _COLUMNS = ["product_id", "score", "ts", "seq"]
 
 def recent_ratings_stream(ratings: DataFrame, n: int) -> DataFrame:
     """For each user with new ratings in a batch, the n newest seen so far:
-    (user_id, rank, product_id, score, ts, seq), rank 1 the newest by (ts, seq).
+    (user_id, rank, product_id, score, ts, seq, rated), rank 1 the newest by (ts,
+    seq). Its row also has all products the user has rated in the stream so far;
+    the others' `rated` is null.
     """
     def newest_per_user(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             newest_first = frame.sort_values(["ts", "seq"], ascending=False)
-            yield newest_first.groupby("user_id").head(n)
+            newest = newest_first.groupby("user_id").cumcount() < n
+            yield newest_first[newest | ~newest_first.duplicated(["user_id", "product_id"])]
 
     ratings = ratings.select("user_id", *_COLUMNS)
-    # Older ratings than a user's n newest cannot matter, so they are dropped
-    # before the shuffle: a very busy user sends n rows per batch of rows.
+    # Of ratings older than a user's n newest only the product can matter, so
+    # repeats are dropped before the shuffle: a very busy user sends n rows and
+    # one per product of a batch of rows.
     return (ratings.mapInPandas(newest_per_user, f"user_id int, {_RATING}")
             .groupBy("user_id")
             .transformWithState(
                 statefulProcessor=_RecentRatings(n),
-                outputStructType=f"user_id int, rank int, {_RATING}",
+                outputStructType=f"user_id int, rank int, {_RATING}, rated array<int>",
                 outputMode="Update", timeMode="None"))
 
 
@@ -55,21 +59,28 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
 
 
 class _RecentRatings(StatefulProcessor):
-    """Holds a user's newest ratings; a call sees one user's few new ones."""
+    """Holds a user's newest ratings and the products rated; a call sees one
+    user's few new ratings. Only products not seen before are written."""
 
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", _RATING)
+        self.rated = handle.getMapState("rated", "product_id int", "known boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = ((r.product_id, r.score, r.ts, r.seq) for r in rows)
+        new = [(r.product_id, r.score, r.ts, r.seq) for r in rows]
+        products = {k[0] for k in self.rated.keys()} if self.rated.exists() else set()
+        for product in {r[0] for r in new} - products:
+            self.rated.updateValue((product,), (True,))
+            products.add(product)
         kept = heapq.nlargest(self.n, chain(self.recent.get(), new), key=lambda r: (r[2], r[3]))
         kept = [tuple(r) for r in kept]
         self.recent.put(kept)
         for rank, rating in enumerate(kept, 1):
-            yield Row(user_id=key[0], rank=rank, **dict(zip(_COLUMNS, rating)))
+            yield Row(user_id=key[0], rank=rank, **dict(zip(_COLUMNS, rating)),
+                      rated=sorted(products) if rank == 1 else None)
 
     def close(self) -> None:
         pass

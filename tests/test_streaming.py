@@ -8,15 +8,21 @@ import pytest
 from tests.conftest import rows
 from tastegraph.operators.item_cf import item_cf_sims
 from tastegraph.operators.online import rank_similar
+from tastegraph.operators.pair_index import PairIndex
 from tastegraph.sources import read_rating_stream
-from tastegraph.streaming.recommender import (SIMILAR_BUCKETS, compact_recs, flat_recs, latest_recs, lists_of,
-                                              save_rated, save_similar, start_recommender)
+from tastegraph.streaming.recommender import (SIMILAR_BUCKETS, compact_recs, flat_recs, latest_recs, lists_of, rec_store,
+                                              save_rated, save_similar, start_recommender, stored_recs)
+
+
+def past():
+    chance = random.Random(11)
+    return [(u, chance.randrange(60)) for u in range(25) for _ in range(12)]
 
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     chance = random.Random(9)
-    history = [(u, chance.randrange(60), float(chance.randint(1, 5)), 0) for u in range(25) for _ in range(12)]
+    history = [(u, p, float(chance.randint(1, 5)), 0) for u, p in past()]
     rated = spark.createDataFrame(history, "user_id int, product_id int, score double, ts long")
     lists = str(tmp_path_factory.mktemp("similar") / "table")
     save_similar(rank_similar(item_cf_sims(rated, k=None)), lists)
@@ -30,14 +36,14 @@ def tables(spark, tmp_path_factory):
     return similar, spark.read.parquet(path), live
 
 
-def _replay(spark, tables, folder, batches):
+def _replay(spark, tables, folder, batches, **settings):
     similar, rated, _ = tables
     for n, batch in enumerate(batches):
         messages = [(seq, f"{u}|{p}|{s}|{t}") for seq, u, p, s, t in batch]
         spark.createDataFrame(messages, "seq long, value string").coalesce(1).write.parquet(f"{folder}/feed/{n}")
     log = f"{folder}/log"
     feed = read_rating_stream(spark, f"{folder}/feed/*", files_per_batch=1)
-    query = start_recommender(feed, similar, rated, log, f"{folder}/checkpoint", interval=None, buckets=4)
+    query = start_recommender(feed, similar, rated, log, f"{folder}/checkpoint", interval=None, buckets=4, **settings)
     query.awaitTermination()
     assert query.exception() is None
     return log
@@ -102,3 +108,35 @@ def test_a_batch_reads_the_lists_of_its_own_products(spark, tables):
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ IN \(\d+,\d+\)", plan)
     both = [df.where("product_id in (3, 17)") for df in (part, similar)]
     assert rows(both[0], "product_id", "rid", "r", "place") == rows(both[1], "product_id", "rid", "r", "place") != []
+
+
+def test_what_is_rated_in_the_stream_is_not_recommended(spark, tables, tmp_path):
+    """With cut lists and an index; in one batch, and in three out of order."""
+    similar, rated, live = tables
+    ratings = rated.select("user_id", "product_id")
+    index = PairIndex.build(spark.createDataFrame(past(), "user_id int, product_id int"), str(tmp_path / "index"))
+    lists = str(tmp_path / "similar")
+    save_similar(similar.where("place <= 5").select("product_id", "rid", "r", "place"), lists)
+    cut = spark.read.parquet(lists), rated, live
+    shuffled = live[:]
+    random.Random(4).shuffle(shuffled)
+    settings = {"index": index, "depth": 5, "live_rated": True}
+    one = _final(spark, _replay(spark, cut, str(tmp_path / "one"), [live], **settings))
+    many = _final(spark, _replay(spark, cut, str(tmp_path / "many"), [shuffled[:80], shuffled[80:160], shuffled[160:]], **settings))
+    assert one == many
+    known = {(r.user_id, r.product_id) for r in ratings.collect()} | {(u, p) for _, u, p, *_ in live}
+    assert all((u, p) not in known for u, recs in one.items() for p, _ in recs) and any(one.values())
+    store = rec_store(spark, str(tmp_path / "store"), most_folders=1)
+    parts = [live[i:i + 81] for i in range(0, len(live), 81)]
+    for n, batch in enumerate(parts):
+        messages = [(seq, f"{u}|{p}|{s}|{t}") for seq, u, p, s, t in batch]
+        spark.createDataFrame(messages, "seq long, value string").coalesce(1).write.parquet(f"{tmp_path}/stored/feed/{n}")
+    feed = read_rating_stream(spark, f"{tmp_path}/stored/feed/*", files_per_batch=1)
+    start_recommender(feed, cut[0], rated, store, f"{tmp_path}/stored/checkpoint", interval=None, buckets=4,
+                      **settings).awaitTermination()
+    kept = stored_recs(store).collect()
+    assert {r.user_id: [(e.product_id, round(e.score, 9)) for e in r.recs] for r in kept} == one
+    assert len(store.folders()) == 2 and len(store.versions()) == 3 and {r.batch_id for r in kept} <= set(range(len(parts)))
+    frozen = _final(spark, _replay(spark, cut, str(tmp_path / "frozen"), [live], index=index, depth=5))
+    assert frozen == _final(spark, _replay(spark, tables, str(tmp_path / "whole"), [live]))
+    assert any((u, p) in known for u, recs in frozen.items() for p, _ in recs)
