@@ -1,10 +1,10 @@
 """Byte-pair encoding and decoding as streaming transducers.
 
-Encoding reads a text piece by piece. Words are cut by the byte-level pattern;
-a short word is merged at once, a long run goes through a window: from the
-merge list follows how many bytes behind a token boundary can still change it
-(the sufficient lookahead), so tokens further left than that are emitted and
-forgotten. Decoding turns ids back into bytes and keeps at most the three bytes
+Encoding reads a text piece by piece. Words are cut by the byte-level pattern
+and each goes through a window: from the merge list follows how many bytes
+behind a token boundary can still change it (the sufficient lookahead), so
+tokens further left than that are emitted and forgotten, and a word that ends
+within the lookahead is stable at once. Decoding turns ids back into bytes and keeps at most the three bytes
 of an unfinished character. Memory depends on the vocabulary, not on the text.
 
 Sufficient lookahead. Let more text arrive on the right. At every step of the
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -36,9 +37,9 @@ from tastegraph.llm.tables import map_batches
 #: Characters of a text taken in at once.
 SLICE = 1 << 16
 #: Words, and pieces between spaces, remembered by a worker; of more, the older half is forgotten.
-CACHE_WORDS = 100_000
-CACHE_SPACED = 250_000
-#: Words longer than this go through the window.
+CACHE_WORDS = 50_000
+CACHE_SPACED = 400_000
+#: Words longer than this are not remembered.
 LONG_WORD = 256
 
 #: The byte-level word pattern.
@@ -135,7 +136,7 @@ class Vocabulary:
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Window:
@@ -148,6 +149,9 @@ class _Window:
         out: list[int] = []
         reach = self.vocabulary.lookahead
         self.waiting += data
+        if last and len(self.waiting) <= 2 * reach:
+            rest, self.waiting = self.waiting, b""
+            return self.vocabulary.merge(rest)
         while len(self.waiting) > 2 * reach or last and self.waiting:
             part = self.waiting[:4 * reach]
             whole = last and len(part) == len(self.waiting)
@@ -190,11 +194,11 @@ class Words:
         self.spaced = _Memory(self._spaced, spaced)
 
     def _word(self, word: str) -> bytes:
-        data = word.encode()
-        return packed(self.vocabulary.merge(data) if len(data) <= LONG_WORD
-                      else _Window(self.vocabulary).feed(data, last=True))
+        return packed(_Window(self.vocabulary).feed(word.encode(), last=True))
 
     def _spaced(self, piece: str) -> bytes:
+        if piece.isalpha():  # with its space, one word
+            return self._word(" " + piece)
         return self.closed(piece if piece[0] == "\n" else " " + piece)
 
     def closed(self, text: str) -> bytes:
@@ -266,8 +270,6 @@ class Encoder:
 
 
 def encode_text(words: Words, text: str) -> bytes:
-    if len(text) <= SLICE:
-        return Encoder(words).feed(text, last=True)
     encoder = Encoder(words)
     return b"".join(encoder.feed(text[i:i + SLICE], last=i + SLICE >= len(text)) for i in range(0, len(text), SLICE))
 
