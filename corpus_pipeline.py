@@ -2,7 +2,9 @@
 
 Every stage gets what its predecessor kept, and its result is written and read
 back before the next one starts. All but the last return the columns of
-`documents`; the last adds the tokens and puts in their text.
+`documents`, whatever these are called; the last adds the tokens and puts in
+their text. Nulls, empty texts, ties and repeated rows are the operators'
+business; an empty table stays one.
 """
 
 from __future__ import annotations
@@ -13,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tastegraph.llm import bpe, language, mixing
 from tastegraph.llm.exact_dedup import drop_exact_duplicates
 from tastegraph.llm.simhash import drop_near_duplicates
+from tastegraph.llm.tables import unused
 from tastegraph.workspace import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, or in no learned language, go."""
     model = language.fit(language.labelled_sample(docs))
-    names = ("_language", "_score", "_phrase_symbols")
+    names = tuple(unused(docs, "_language", "_score", "_phrase_symbols"))
     found = language.identify(docs, model, carry=tuple(c for c in docs.columns if c != "doc_id"), names=names)
     return found.where(~language.rejected(F.col(names[0]), F.col(names[2]))).select(docs.columns)
 
@@ -41,11 +44,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with `n_tokens` and `ids`, and as text what the ids decode to."""
+    """The documents with `n_tokens` and `ids`, and as text what the ids decode
+    to. Columns that had these two names give way to the result."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_tokens", "ids")]
-    encoded = bpe.encode(docs, path, carry=tuple(others)).withColumn("_ids", F.col("ids"))
-    return bpe.decode(encoded, path, ids_col="_ids", to="text").select("doc_id", "text", *others, "n_tokens", "ids")
+    own, = unused(docs, "_ids")
+    encoded = bpe.encode(docs, path, carry=tuple(others)).withColumn(own, F.col("ids"))
+    return bpe.decode(encoded, path, ids_col=own, to="text").select("doc_id", "text", *others, "n_tokens", "ids")
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("simhash_near_dedup", near_dedup),

@@ -145,12 +145,16 @@ def mix(docs: DataFrame, tokens: Column, entropy: float | None = None, max_repea
     return full.select(columns).unionByName(inside.where(~ends).select(columns)).unionByName(cut.select(columns))
 
 
-def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, each as often as it was taken."""
-    own, of_id, of_hash, copies, copy = unused(docs, "_hash", "_taken_id", "_taken_hash", "_copies", "_copy")
-    taken = (mixed.groupBy(F.col(id_col).alias(of_id), F.col("text_sha256").alias(of_hash))
+def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         source_col: str = "source") -> DataFrame:
+    """The rows of `docs`, all columns, each as often as it was taken. Rows with
+    one id, source and text are taken together, in the columns of one of them."""
+    own, of_id, of_source, of_hash, copies, copy = unused(
+        docs, "_hash", "_taken_id", "_taken_source", "_taken_hash", "_copies", "_copy")
+    taken = (mixed.groupBy(F.col(id_col).alias(of_id), F.col("source").alias(of_source), F.col("text_sha256").alias(of_hash))
              .agg(F.count(F.lit(1)).alias(copies)))
-    same = F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_hash))
-    return (docs.withColumn(own, text_hash(F.col(text_col))).join(taken, same).dropDuplicates([id_col, own])
+    same = (F.col(id_col).eqNullSafe(F.col(of_id)) & F.col(source_col).cast("string").eqNullSafe(F.col(of_source))
+            & (F.col(own) == F.col(of_hash)))
+    return (docs.withColumn(own, text_hash(F.col(text_col))).join(taken, same).dropDuplicates([id_col, source_col, own])
             .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
             .select(docs.columns))

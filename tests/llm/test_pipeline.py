@@ -1,7 +1,9 @@
 """The stages on a small corpus, step by step."""
 
 import re
+from collections import Counter
 
+from tastegraph.llm import mixing
 from tests.llm.test_operators import SF_DIR, Sets, _fingerprint, needs_tables
 
 import corpus_pipeline
@@ -48,3 +50,28 @@ def test_stages(spark):
 def test_run_applies_all_stages(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert found.count() > 150 and found.where(F.col("n_tokens") > 0).count() == found.count()
+
+
+def test_columns_named_like_the_stages_own(spark, clashing):
+    """Extra columns come through every stage; of the results' names, only those
+    of the last stage are taken."""
+    own = ["_language", "_score", "_phrase_symbols", "_ids", "_hash", "_kept_id", "_taken_source", "_copies"]
+    docs = clashing.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in own})
+    before = {r.doc_id: r for r in docs.where("doc_id not in (4, 5)").collect()}
+    kept = corpus_pipeline.language_id(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    assert all(r == before[r.doc_id] for r in kept.where("doc_id not in (4, 5)").collect())
+    tokens = corpus_pipeline.encode(spark, docs, SF_DIR)
+    others = [c for c in docs.columns if c not in ("text", "n_tokens", "ids")]
+    for r in tokens.where("doc_id not in (4, 5)").collect():
+        assert all(r[c] == before[r.doc_id][c] for c in others) and r.text == (before[r.doc_id].text or "")
+        assert len(r.ids) == 4 * r.n_tokens
+
+
+def test_taken_rows_keep_their_source(spark):
+    rows = [(1, "one text", "s1", "en"), (1, "one text", "s2", "fr"), (2, "two words more", "s1", "en"), (3, "x", None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")), entropy=0.9, max_repeats=3.0)
+    found = Counter((r.doc_id, r.source) for r in mixing.take(docs, mixed).collect())
+    assert found == Counter((r.doc_id, r.source) for r in mixed.collect()) and set(found) == {(r[0], r[2]) for r in rows}
+    assert {(r.source, r.lang) for r in mixing.take(docs, mixed).collect()} == {(r[2], r[3]) for r in rows}
