@@ -37,8 +37,8 @@ from tastegraph.llm.tables import map_batches
 #: Characters of a text taken in at once.
 SLICE = 1 << 16
 #: Words, and pieces between spaces, remembered by a worker; of more, the older half is forgotten.
-CACHE_WORDS = 50_000
-CACHE_SPACED = 400_000
+CACHE_WORDS = 25_000
+CACHE_SPACED = 250_000
 #: Words longer than this are not remembered.
 LONG_WORD = 256
 
