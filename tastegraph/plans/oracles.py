@@ -151,6 +151,17 @@ pairs as (
   from vectors a cross join catalogue b where list_dot_product(a.v, b.v) > 0),
 ranked as (select *, row_number() over (partition by vec_id order by r desc, rid) as rank from pairs)
 select vec_id, rid, r, cast(rank as int) as rank from ranked where rank <= 20""",
+    "part_score_topk": """
+with c as (select c_custkey, sqrt(c_acctbal::double + 1000) / 10 as c1, c_nationkey::double / 10 as c2 from customer),
+p as (
+  select p_partkey, p_size * sqrt(p_size::double) / 100 as p1, sqrt(p_retailprice::double) / 100 as p2,
+    (p_size % 3)::double as p3
+  from part),
+pairs as (
+  select c_custkey, p_partkey, c1 * p1 + c2 * p2 + p3 as dot from c cross join p where c1 * p1 + c2 * p2 + p3 > 0),
+scored as (select c_custkey, p_partkey, floor(dot * 1e6 + 0.5) / 1e6 as r from pairs),
+ranked as (select *, row_number() over (partition by c_custkey order by r desc, p_partkey) as rank from scored)
+select c_custkey, p_partkey, r, cast(rank as int) as rank from ranked where rank <= 20""",
     "item_cf_sims": _ITEM_CF,
     "item_cf_sims_increments": _ITEM_CF,
     "content_sims": f"""

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tastegraph.functions import delimited, year_month
 from tastegraph.operators import content, item_cf, latent, online, popularity
 from tastegraph.operators.co_ratings import CoRatings
 from tastegraph.operators.dense_pairs import best_matches
+from tastegraph.operators.norm_blocks import best_dots
 from tastegraph.operators.pair_index import PairIndex
 from tastegraph.sources import messages, text, views
 from tastegraph.sources.snapshots import Snapshots
@@ -102,6 +103,24 @@ def dense_dot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def part_score_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each customer the 20 parts with the highest dot product of what is
+    known of both: what `als_user_recs` does, with vectors of very unlike length
+    in blocks of 16 KB."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("id"),
+        _doubles(F.sqrt(F.col("c_acctbal").cast("double") + 1000) / 10, F.col("c_nationkey") / 10, F.lit(1)))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").alias("id"),
+        _doubles(F.col("p_size") * F.sqrt("p_size") / 100, F.sqrt(F.col("p_retailprice").cast("double")) / 100, F.col("p_size") % 3))
+    found = best_dots(materialize(customers, "customers"), materialize(parts, "parts"), 20, OUTPUT_DECIMALS, block_bytes=16 << 10)
+    return found.select(F.col("id").alias("c_custkey"), F.col("rid").alias("p_partkey"), "r", "rank")
+
+
+def _doubles(*values: Column) -> Column:
+    return F.array(*(v.cast("double") for v in values)).alias("vector")
+
+
 def item_cf_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(item_cf.item_cf_sims(views.ratings(spark, sf_dir)), "r")
 
@@ -188,6 +207,6 @@ def stream_recs_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     load_products, load_ratings, rate_more_products, rate_more_recently_products, average_products,
-    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, item_cf_sims, item_cf_sims_increments, content_sims_hashed, content_sims,
+    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, part_score_topk, item_cf_sims, item_cf_sims_increments, content_sims_hashed, content_sims,
     als_grid_search, rating_rmse, parse_rating_messages, user_recent_ratings, top_similar_unrated,
     stream_priority_score, stream_recs, stream_recs_unrated)}

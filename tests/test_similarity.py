@@ -9,6 +9,7 @@ import pytest
 from tests.conftest import rows
 from tastegraph.operators import sparse_pairs
 from tastegraph.operators.dense_pairs import best_matches
+from tastegraph.operators.norm_blocks import best_dots
 from tastegraph.operators.item_cf import item_cf_lists, item_cf_sims
 
 
@@ -125,6 +126,33 @@ def test_dense_without_k_gives_every_positive_pair(spark):
     assert found == {(i, j) for i in range(30) for j in range(40) if left[i] @ right[j] > 0}
 
 
+def test_dots_by_length_are_those_of_all_pairs(spark):
+    random = np.random.default_rng(5)
+    left, right = random.normal(size=(120, 6)), random.normal(size=(900, 6)) * np.exp(2 * random.normal(size=(900, 1)))
+    right[100:400] = right[7]       # a third are copies, one length over several blocks
+    left[3], right[11], right[12], left[5] = 0, 0, 1e-200, -1e200
+    expected = best_matches(_vectors(spark, left), _vectors(spark, right), 7, "dot", decimals=6)
+    rounds = []
+    found = best_dots(_vectors(spark, left), _vectors(spark, right), 7, 6, block_bytes=6 * 8 * 30, rounds=rounds)
+    assert rows(found) == rows(expected)
+    assert [(first, n) for first, n, _ in rounds][:3] == [(0, 1), (1, 1), (2, 2)]
+    assert sum(pairs for *_, pairs in rounds) < 119 * 30 * 0.6      # of 30 blocks for every vector but the zero one
+    assert rows(best_dots(_vectors(spark, left), _vectors(spark, right), 7, 6)) == rows(expected)     # one block
+
+
+def test_dots_by_length_of_few_short_or_no_vectors(spark):
+    left, right = np.array([[1.0, 0], [0, 0], [-1, 0]]), np.array([[2.0, 0], [1, 1], [0.5, 0], [0, 3]])
+    assert rows(best_dots(_vectors(spark, left), _vectors(spark, right), 5, block_bytes=16)) == [
+        (0, 0, 2.0, 1), (0, 1, 1.0, 2), (0, 2, 0.5, 3)]      # fewer than 5: every block has been met
+    none = _vectors(spark, left).where("id < 0")
+    assert rows(best_dots(none, _vectors(spark, right), 5)) == rows(best_dots(_vectors(spark, left), none, 5)) == []
+    odd = spark.createDataFrame([(1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (None, [1.0, 1.0]), (4, [1.0, 1.0])],
+                                "id long, vector array<double>")
+    assert rows(best_dots(odd, odd, 5, block_bytes=16)) == [(4, 4, 2.0, 1)]
+    with pytest.raises(ValueError, match="different lengths"):
+        best_dots(odd, _vectors(spark, np.ones((2, 3))), 5)
+
+
 def test_ratings_without_a_product_count_for_nothing(ratings):
     table = [(1, 1), (1, 2), (1, None), (2, 1), (2, None), (3, None)]
     assert rows(item_cf_sims(ratings(table))) == rows(item_cf_sims(ratings([r for r in table if r[1] is not None])))
