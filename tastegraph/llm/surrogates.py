@@ -67,8 +67,8 @@ NAME_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-][^\W\d_]+)*(?!\w)")
 NAME_PART = re.compile(r"[^\W\d_]+")
 #: Country codes of two digits; 1 and 7 have one, all others three.
 TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
-#: Only texts with one of these can hold an entity.
-POSSIBLE = rf"[0-9@]|::|{_TITLE}"
+#: Only texts with one of these can hold an entity. Most letters begin none of them, which is seen at once.
+POSSIBLE = rf"(?=[0-9@:{''.join(sorted({t[0] for t in GENDER}))}])(?:[0-9@]|::|{_TITLE})"
 #: Letters of surrogate names by script: consonants, vowels, endings of given names.
 SCRIPTS = {"LATIN": ("bdfglmnprstv", "aeiou", {"f": "a", "m": "o", "n": "e"}),
            "CYRILLIC": ("бвгдзклмнпрст", "аеиоу", {"f": "а", "m": "н", "n": "й"}),
