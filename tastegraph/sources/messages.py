@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tastegraph.functions import delimited
 from tastegraph.schemas import MESSAGE, RATING
@@ -29,6 +29,16 @@ def format_messages(ratings: DataFrame) -> DataFrame:
     return ratings.select(F.col("event_id").cast("long").alias("seq"), text.alias("value"))
 
 
+#: Partitions of a topic that a place in the feed can tell apart.
+MOST_PARTITIONS = 1 << 16
+
+
+def feed_place(partition: Column, offset: Column) -> Column:
+    """One number per message of a topic, by offset and then by partition: no two
+    messages share it, and a message delivered again has it again."""
+    return offset.cast("long") * MOST_PARTITIONS + partition.cast("long")
+
+
 def read_rating_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
                        files_per_batch: int | None = None) -> DataFrame:
     """A stream of (seq, value). `kafka` holds the broker options of Spark's
@@ -37,7 +47,7 @@ def read_rating_stream(spark: SparkSession, path: str | None = None, kafka: dict
     if kafka is not None:
         feed = spark.readStream.format("kafka").options(**{"startingOffsets": "latest", **kafka}).load()
         # One user's messages share a partition when the producer keys by user.
-        return feed.select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
+        return feed.select(feed_place(F.col("partition"), F.col("offset")).alias("seq"), F.col("value").cast("string").alias("value"))
     reader = spark.readStream.schema(MESSAGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -25,14 +25,15 @@ def load_products(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 
 def load_ratings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Comma-separated rating lines: user, product, score, epoch seconds."""
+    """Comma-separated rating lines: user, product, score, epoch seconds. A score
+    that is no number cannot be read."""
     field = F.split("value", ",")
     columns = {f.name: F.trim(F.try_element_at(field, F.lit(i + 1))).try_cast(f.dataType)
                for i, f in enumerate(RATING.fields)}
-    complete = F.lit(True)
+    good = ~F.isnan("score")
     for name in columns:
-        complete = complete & F.col(name).isNotNull()
-    return _accept(spark.read.text(path), columns, RATING.fieldNames(), complete)
+        good &= F.col(name).isNotNull()
+    return _accept(spark.read.text(path), columns, RATING.fieldNames(), F.coalesce(good, F.lit(False)))
 
 
 def _accept(lines: DataFrame, columns: dict, order: list[str], good) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,13 @@
 import os
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tastegraph.schemas import RATING
 from tastegraph.functions import delimited
 from tastegraph.sources import (format_messages, load_products, load_ratings, load_table, parse_rating_messages,
                                 save_table)
+from tastegraph.sources.messages import feed_place
 
 
 def _write(path, lines):
@@ -26,11 +29,11 @@ def test_products_keep_five_fields_and_reject_bad_lines(spark, tmp_path):
 
 
 def test_ratings_reject_bad_lines(spark, tmp_path):
-    path = _write(tmp_path / "ratings.txt", ["1,2,3.5,1500000000", "1,x,3.5,1500000000", "4,5", "6,7,5,10"])
+    path = _write(tmp_path / "ratings.txt", ["1,2,3.5,1500000000", "1,x,3.5,1500000000", "4,5", "6,7,5,10", "8,9,NaN,11"])
     good, rejected = load_ratings(spark, path)
     assert good.schema.simpleString() == RATING.simpleString()
     assert rows(good) == [(1, 2, 3.5, 1500000000), (6, 7, 5.0, 10)]
-    assert rows(rejected) == [("1,x,3.5,1500000000",), ("4,5",)]
+    assert rows(rejected) == [("1,x,3.5,1500000000",), ("4,5",), ("8,9,NaN,11",)]
 
 
 def test_messages_round_trip_and_skip_malformed(spark):
@@ -45,6 +48,14 @@ def test_messages_round_trip_and_skip_malformed(spark):
     assert rows(again) == rows(parsed) and none.isEmpty()
 
 
+def test_places_in_the_feed_are_distinct_and_in_order_of_each_partition(spark):
+    messages = [(p, o) for p in (0, 1, 65535) for o in (0, 1, 7, 1 << 40)]
+    placed = (spark.createDataFrame(messages, "partition int, offset long")
+              .withColumn("seq", feed_place(F.col("partition"), F.col("offset"))).sort("seq").collect())
+    assert len({r.seq for r in placed}) == len(messages)
+    assert [(r.partition, r.offset) for r in placed] == sorted(messages, key=lambda m: (m[1], m[0]))
+
+
 def test_a_null_field_moves_no_other(spark):
     lines = spark.createDataFrame([(1, None, 3)], "a int, b string, c int").select(delimited("^", "a", "b", "c").alias("v"))
     assert rows(lines) == [("1^^3",)]
