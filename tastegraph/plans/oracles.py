@@ -162,6 +162,16 @@ pairs as (
 scored as (select c_custkey, p_partkey, floor(dot * 1e6 + 0.5) / 1e6 as r from pairs),
 ranked as (select *, row_number() over (partition by c_custkey order by r desc, p_partkey) as rank from scored)
 select c_custkey, p_partkey, r, cast(rank as int) as rank from ranked where rank <= 20""",
+    "season_sims": f"""
+with {_RATINGS},
+months as (
+  select product_id, [{', '.join(f'count(*) filter (m = {m})::double' for m in range(1, 13))}] as v
+  from (select product_id, month(make_timestamp(ts * 1000000)) as m from ratings) group by 1),
+vectors as (select min(product_id) as product_id, v, count(*) as copies from months group by v)
+select a.product_id, b.product_id as rid, floor(list_cosine_similarity(a.v, b.v) * 1e6 + 0.5) / 1e6 as r,
+  a.copies, b.copies as r_copies
+from vectors a join vectors b on a.product_id < b.product_id
+where floor(list_cosine_similarity(a.v, b.v) * 1e6 + 0.5) / 1e6 >= 0.95""",
     "item_cf_sims": _ITEM_CF,
     "item_cf_sims_increments": _ITEM_CF,
     "content_sims": f"""

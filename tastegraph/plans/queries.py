@@ -12,6 +12,7 @@ from tastegraph.operators.co_ratings import CoRatings
 from tastegraph.operators.dense_pairs import best_matches
 from tastegraph.operators.norm_blocks import best_dots
 from tastegraph.operators.pair_index import PairIndex
+from tastegraph.operators.pivot_blocks import cosine_links
 from tastegraph.sources import messages, text, views
 from tastegraph.sources.snapshots import Snapshots
 from tastegraph.streaming import recommender
@@ -117,6 +118,19 @@ def part_score_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("c_custkey"), F.col("rid").alias("p_partkey"), "r", "rank")
 
 
+def season_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose ratings are spread over the months of the year much alike:
+    all pairs with a cosine of 0.95 or more, between the smallest ids of products
+    with the same counts; `copies` and `r_copies` say how many these stand for."""
+    month = F.month(F.timestamp_seconds("ts"))
+    counts = F.array(*(F.count_if(month == m).cast("double") for m in range(1, 13)))
+    vectors = views.ratings(spark, sf_dir).groupBy(F.col("product_id").alias("id")).agg(counts.alias("vector"))
+    links, members = cosine_links(vectors, 0.95, OUTPUT_DECIMALS)
+    first = materialize(members.where("id = link_id").select("id", "copies"), "first-members")
+    return (links.join(first, "id").join(first.toDF("rid", "r_copies"), "rid")
+            .select(F.col("id").cast("int").alias("product_id"), F.col("rid").cast("int"), "r", "copies", "r_copies"))
+
+
 def _doubles(*values: Column) -> Column:
     return F.array(*(v.cast("double") for v in values)).alias("vector")
 
@@ -207,6 +221,7 @@ def stream_recs_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     load_products, load_ratings, rate_more_products, rate_more_recently_products, average_products,
-    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, part_score_topk, item_cf_sims, item_cf_sims_increments, content_sims_hashed, content_sims,
+    als_user_recs, als_product_sims, dense_cosine_topk, dense_dot_topk, part_score_topk, season_sims,
+    item_cf_sims, item_cf_sims_increments, content_sims_hashed, content_sims,
     als_grid_search, rating_rmse, parse_rating_messages, user_recent_ratings, top_similar_unrated,
     stream_priority_score, stream_recs, stream_recs_unrated)}
