@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tastegraph.functions import delimited, year_month
 from tastegraph.operators import content, item_cf, latent, online, popularity
@@ -27,12 +27,14 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, OUTPUT_DECIMALS) for c in columns})
 
 
-def _all_read(loaded: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """The good rows, of lines that were written here and so must all be good."""
-    good, rejected = loaded
-    if not rejected.isEmpty():
-        raise ValueError(f"lines that can't be read, such as {rejected.first()}")
-    return good
+def _all_read(spark: SparkSession, load: Callable, path: str) -> DataFrame:
+    """The rows of lines that were written here and so must all be good; the file
+    is read once."""
+    counts = Observation("lines")
+    rows = materialize(load(spark, path, counts)[0], "loaded")
+    if counts.get["unread"]:
+        raise ValueError(f"{counts.get['unread']} lines of {path} can't be read")
+    return rows
 
 
 def load_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +43,14 @@ def load_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         delimited("^", "product_id", "name", "p_size", "p_brand", "image_url", "categories", "tags"))
     path = new_path(spark, "product-lines")
     lines.write.text(path)
-    return _all_read(text.load_products(spark, path))
+    return _all_read(spark, text.load_products, path)
 
 
 def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings written as comma-separated lines and loaded from them."""
     path = new_path(spark, "rating-lines")
     views.ratings(spark, sf_dir).select(delimited(",", "user_id", "product_id", "score", "ts")).write.text(path)
-    return _all_read(text.load_ratings(spark, path))
+    return _all_read(spark, text.load_ratings, path)
 
 
 def rate_more_products(spark: SparkSession, sf_dir: str) -> DataFrame:

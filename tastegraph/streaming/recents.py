@@ -21,11 +21,12 @@ def recent_ratings_stream(ratings: DataFrame, n: int) -> DataFrame:
     """For each user with new ratings in a batch, the n newest seen so far:
     (user_id, rank, product_id, score, ts, seq, rated), rank 1 the newest by (ts,
     seq). Its row also has all products the user has rated in the stream so far;
-    the others' `rated` is null.
+    the others' `rated` is null. A rating that comes again with the same `seq` counts
+    once, however late: what n newer ones have pushed out stays out.
     """
     def newest_per_user(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            newest_first = frame.sort_values(["ts", "seq"], ascending=False)
+            newest_first = frame.drop_duplicates(["user_id", "seq"]).sort_values(["ts", "seq"], ascending=False)
             newest = newest_first.groupby("user_id").cumcount() < n
             yield newest_first[newest | ~newest_first.duplicated(["user_id", "product_id"])]
 
@@ -75,8 +76,8 @@ class _RecentRatings(StatefulProcessor):
         for product in {r[0] for r in new} - products:
             self.rated.updateValue((product,), (True,))
             products.add(product)
-        kept = heapq.nlargest(self.n, chain(self.recent.get(), new), key=lambda r: (r[2], r[3]))
-        kept = [tuple(r) for r in kept]
+        by_seq = {r[3]: tuple(r) for r in chain(self.recent.get(), new)}
+        kept = heapq.nlargest(self.n, by_seq.values(), key=lambda r: (r[2], r[3]))
         self.recent.put(kept)
         for rank, rating in enumerate(kept, 1):
             yield Row(user_id=key[0], rank=rank, **dict(zip(_COLUMNS, rating)),

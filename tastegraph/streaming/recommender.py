@@ -84,7 +84,9 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
     `log_path`, or to the store given in its place.
 
     Messages that can't be read go to `rejected_path`, in a folder per batch, by
-    a query of their own with a checkpoint beside the other.
+    the same query: it stops if either can't be written. Its progress has the numbers of
+    messages read and not, as the observed metrics `read` and, with such a path,
+    `unread`. A message delivered again, with the place in the feed it had, changes nothing.
 
     `similar` is a table made by `save_similar`, `rated` one made by `save_rated`,
     with the same numbers of buckets. With interval=None the query works off what is there and
@@ -97,7 +99,11 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
     def recommend(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            lists = batch_recommendations(batch, similar, rated, k, buckets, similar_buckets, index, depth, live_rated)
+            if rejected_path:
+                unread = batch.where("unread").select(messages.columns)
+                unread.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+            recents = batch.where("not unread") if rejected_path else batch
+            lists = batch_recommendations(recents, similar, rated, k, buckets, similar_buckets, index, depth, live_rated)
             if isinstance(log_path, Snapshots):
                 log_path.append(lists.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
             else:
@@ -105,17 +111,14 @@ def start_recommender(messages: DataFrame, similar: DataFrame, rated: DataFrame,
         finally:
             batch.unpersist()
 
-    def keep_rejected(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
-
     good, rejected = parse_rating_messages(messages)
-    recents = recent_ratings_stream(good, n)
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    out = recent_ratings_stream(good.observe("read", F.count("*").alias("n")), n)
     if rejected_path:
-        (rejected.writeStream.foreachBatch(keep_rejected).option("checkpointLocation", f"{checkpoint_path}-rejected")
-         .trigger(**trigger).start())
+        counted = rejected.observe("unread", F.count("*").alias("n")).withColumn("unread", F.lit(True))
+        out = out.withColumn("unread", F.lit(False)).unionByName(counted, allowMissingColumns=True)
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     with state_settings(messages.sparkSession, state_partitions):
-        return (recents.writeStream.outputMode("update").foreachBatch(recommend)
+        return (out.writeStream.outputMode("update").foreachBatch(recommend)
                 .option("checkpointLocation", checkpoint_path).trigger(**trigger).start())
 
 

@@ -1,6 +1,6 @@
 import os
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tests.conftest import rows
 from tastegraph.schemas import RATING
@@ -36,6 +36,13 @@ def test_ratings_reject_bad_lines(spark, tmp_path):
     assert rows(rejected) == [("1,x,3.5,1500000000",), ("4,5",), ("8,9,NaN,11",)]
 
 
+def test_lines_are_counted_in_the_pass_that_loads_them(spark, tmp_path):
+    path = _write(tmp_path / "ratings.txt", ["1,2,3.5,1500000000", "1,x,3.5,1500000000", "4,5", "6,7,5,10"])
+    counts = Observation("lines")
+    good, _ = load_ratings(spark, path, counts)
+    assert len(good.select("user_id").collect()) == 2 and counts.get == {"read": 2, "unread": 2}
+
+
 def test_messages_round_trip_and_skip_malformed(spark):
     feed = spark.createDataFrame([(1, "4867|457976|5.0|1395676800"), (2, "1|2|oops|3"), (3, " 9 |8|1|7"), (4, ""),
                                   (5, "1|2|NaN|3"), (6, None)],

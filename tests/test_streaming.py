@@ -80,12 +80,44 @@ def test_rejected_messages_are_kept(spark, tables, tmp_path):
     query = start_recommender(feed, similar, rated, f"{tmp_path}/log", f"{tmp_path}/checkpoint", interval=None, buckets=4,
                               rejected_path=f"{tmp_path}/rejected")
     query.awaitTermination()
-    for other in spark.streams.active:
-        other.awaitTermination()
+    seen = [p.observedMetrics for p in query.recentProgress]
+    assert sum(m["read"].n for m in seen) == 2 and sum(m["unread"].n for m in seen) == 2
     assert rows(spark.read.parquet(f"{tmp_path}/rejected").select("seq", "value")) == [(2, "no rating"), (3, "1|6|NaN|11")]
     assert {r.user_id for r in latest_recs(spark, f"{tmp_path}/log").collect()} == {1, 2}
 
 
+def test_a_message_delivered_again_changes_nothing(spark, tables, tmp_path):
+    """In the same batch, in a later one, and long after it has been pushed out."""
+    live = tables[2]
+    third = len(live) // 3
+    clean = _final(spark, _replay(spark, tables, str(tmp_path / "clean"), [live]))
+    again = [live[:third] + live[:third:2], live[third // 2:2 * third], live[2 * third:] + live[::5]]
+    assert _final(spark, _replay(spark, tables, str(tmp_path / "again"), again)) == clean
+
+
+def test_a_running_stream_takes_up_what_comes(spark, tables, tmp_path):
+    """On a trigger, with the feed growing while the query runs."""
+    similar, rated, live = tables
+    live = live[:120]
+    whole = _final(spark, _replay(spark, tables, str(tmp_path / "whole"), [live]))
+
+    def deliver(batch):
+        lines = [(seq, f"{u}|{p}|{s}|{t}") for seq, u, p, s, t in batch]
+        spark.createDataFrame(lines, "seq long, value string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+
+    deliver(live[:60])
+    query = start_recommender(read_rating_stream(spark, f"{tmp_path}/feed"), similar, rated, f"{tmp_path}/log",
+                              f"{tmp_path}/checkpoint", interval="2 seconds", buckets=4, rejected_path=f"{tmp_path}/rejected")
+    try:
+        query.processAllAvailable()
+        deliver(live[60:])
+        query.processAllAvailable()
+        assert query.isActive and sum(p.observedMetrics["read"].n for p in query.recentProgress if p.numInputRows) == len(live)
+    finally:
+        query.stop()
+    assert _final(spark, f"{tmp_path}/log") == whole
+
+
 def test_a_restart_goes_on_where_it_stopped(spark, tables, tmp_path):
     similar, rated, live = tables
     half = len(live) // 2
