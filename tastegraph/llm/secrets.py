@@ -5,7 +5,8 @@ access key ids, long runs of hex digits, and, as mere candidates, other long
 mixed tokens. Only hashes of the values leave it. A hash's frequency over the
 whole corpus, counted in distinct owners and repositories, tells a credential
 from what everyone copies: an example key or a placeholder has many owners,
-a live one has its own. Mere candidates become findings if one owner has them.
+or very many repositories, a live one has its own. Mere candidates become
+findings if one owner has them in few repositories.
 
 Defined results: a null text counts as empty and has no spans; rows are judged
 one by one, also if their id is null or repeats; a null owner or repository is
@@ -39,6 +40,8 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 LEAST_DIFFERENT = 10
 #: From so many owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
+#: So it is from so many repositories on, even if one owner has them all.
+EXAMPLE_REPOS = 100
 
 FOUND = "array<struct<start:int,kind:int,stop:int,value:binary>>"
 
@@ -73,11 +76,12 @@ def _joined(spans: Column) -> Column:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  repo_col: str = "doc_id", owner_col: str = "source",
-                 example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                 example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """One row per row of `docs`: the id, `base` and `spans` (arrays of start,
     kind, stop; `base` by pattern alone, `spans` with the candidates that one
-    owner has), `judged` (start, kind, stop, repos, owners, verdict) where the
-    verdict is live (one owner), example (`example_owners` or more) or shared."""
+    owner has in few repositories), `judged` (start, kind, stop, repos, owners,
+    verdict) where the verdict is example (`example_owners` or `example_repos` and
+    more), live (one owner) or shared."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -95,8 +99,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans.select("value", "owner", "repo").distinct()
         .groupBy("value", "owner").count()
         .groupBy("value").agg(F.sum("count").alias("repos"), F.count(F.lit(1)).alias("owners")), "frequency")
-    verdict = (F.when(F.col("owners") == 1, "live").when(F.col("owners") >= example_owners, "example")
-               .otherwise("shared"))
+    copied = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)
+    verdict = F.when(copied, "example").when(F.col("owners") == 1, "live").otherwise("shared")
     judged = (spans.join(frequency, "value").withColumn("verdict", verdict)
               .where((F.col("kind") != OWNED) | (F.col("verdict") == "live"))
               .groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct(
@@ -111,7 +115,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts, hash and list of spans, and counts of verdicts."""
+    """Counts, hash and list of spans, counts of verdicts, and how many owners and
+    repositories the row's most widely copied value has, 0 without one."""
     def of(column: str, field: str, value: int | str) -> Column:
         return F.size(F.filter(column, lambda s: s[field] == value)).cast("long")
 
@@ -121,4 +126,6 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
         of("judged", "kind", OWNED).alias("n_owned"),
-        *(of("judged", "verdict", v).alias(f"n_{v}") for v in ("live", "shared", "example")))
+        *(of("judged", "verdict", v).alias(f"n_{v}") for v in ("live", "shared", "example")),
+        *(F.coalesce(F.array_max(F.transform("judged", lambda s: s[c])), F.lit(0)).cast("long").alias(f"most_{c}")
+          for c in ("owners", "repos")))
