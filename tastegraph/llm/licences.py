@@ -10,7 +10,10 @@ the blocks that may be like a template are joined with their counts for the
 norm. A file whose whole text is like a template
 licenses its directory, whatever its name, and is itself under the licence whose
 full text it holds; files without a header
-of their own inherit from the nearest directory above.
+of their own inherit from the nearest directory above. A line with an SPDX tag is a
+header that is its own template, at cosine 1, for each licence its expression
+names, in any of the forms "-only", "-or-later" and "+"; it belongs to no block of
+lines, and one that names no known licence says nothing.
 
 Defined results: null and empty texts have no header and inherit; a null path
 has no directory; ties go to the higher cosine, then to the licence first in
@@ -69,6 +72,10 @@ FULL_TEXTS = {licence: (files("tastegraph.llm") / "licence_texts" / f"{licence}.
 COMMON = set("a an and any are as at by can form file files for from in is it may not of or other that the this to use "
              "with without work you your code copy met either following all no on be".split())
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+#: The tag and the forms of its identifiers.
+SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+SPDX_ID = re.compile(r"(?:(WITH)[\s()]+)?([a-z0-9][a-z0-9.-]*)", re.IGNORECASE)
+SPDX_FORM = re.compile(r"(?:-only|-or-later)$")
 LEAST_TERMS = 2
 HEADER_COSINE = 0.6
 FILE_COSINE = 0.6
@@ -107,6 +114,17 @@ def templates(idf: dict[str, float]) -> Templates:
     return Templates([licence for licence, *_ in found], [full for _, full, _ in found], rows, known, weights / np.linalg.norm(weights, axis=0))
 
 
+def spdx_licences(line: str) -> list[str] | None:
+    """The known licences that a line's SPDX tag names, in order; None without a
+    tag. What follows WITH is an exception, no licence."""
+    tag = SPDX.search(line)
+    if not tag:
+        return None
+    known = {licence.lower(): licence for licence in TEMPLATES}
+    named = [SPDX_FORM.sub("", m[2].lower()) for m in SPDX_ID.finditer(tag[1]) if not m[1]]
+    return list(dict.fromkeys(known[n] for n in named if n in known))
+
+
 def _block(text: str, start: int, stop: int, kind: int, like: Templates, least: float) -> dict | None:
     """None if its cosine can't be 0 < `least` or more. `square` is the square
     of the length that the terms of templates give, `others` the other words."""
@@ -129,13 +147,17 @@ def _block(text: str, start: int, stop: int, kind: int, like: Templates, least:
 def scan_text(text: str, like: Templates, header_cosine: float, file_cosine: float) -> list[dict]:
     """The text's blocks that may be like a template: headers, in code points,
     and last the whole text."""
-    if VOCABULARY.isdisjoint(words(text)):
+    if VOCABULARY.isdisjoint(words(text)):   # the tag of SPDX holds one of them
         return []
     blocks = []
     start = at = 0
     inside = False
+    tagged = SPDX.search(text) is not None
     for line in text.splitlines(keepends=True):
-        telling = len(VOCABULARY.intersection(words(line))) >= LEAST_TERMS
+        named = spdx_licences(line) if tagged else None
+        blocks += [{"kind": HEADER, "start": at, "stop": at + len(line), "licence": licence, "dot": 1.0, "square": 1.0, "others": []}
+                   for licence in named or ()]
+        telling = named is None and len(VOCABULARY.intersection(words(line))) >= LEAST_TERMS
         if telling and not inside:
             start = at
         elif inside and not telling:
@@ -171,8 +193,9 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     texts = sum(r["texts"] for r in frequency.where("term is null").collect())
     idf = F.log(F.lit(1.0 + texts) / (1 + F.coalesce("texts", F.lit(0)))) + 1
     vocabulary = spark.createDataFrame([(w,) for w in sorted(TERMS)], "term string")
+    counted = frequency.join(F.broadcast(vocabulary), "term", "left_semi")   # a fixed list of words
     like = templates({r["term"]: r["idf"] for r in
-                      F.broadcast(vocabulary).join(frequency, "term", "left").select("term", idf.alias("idf")).collect()})
+                      vocabulary.join(counted, "term", "left").select("term", idf.alias("idf")).collect()})
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         blocks = [scan_text(t, like, header_cosine, file_cosine) if t else [] for t in rows.column(2).to_pylist()]

@@ -229,6 +229,23 @@ def test_licences_and_inheritance(spark):
     assert rows[5][2][header.start:header.stop].strip() == "Licensed under the Apache License, Version 2.0."
 
 
+def test_spdx_lines(spark):
+    prose = "plain words of a file\n"
+    said = {"// SPDX-License-Identifier: MIT": {"MIT"}, "# spdx-license-identifier: GPL-3.0-only": {"GPL-3.0"},
+            "/* SPDX-License-Identifier: GPL-2.0+ */": {"GPL-2.0"}, "SPDX-License-Identifier: AGPL-3.0-or-later": {"AGPL-3.0"},
+            "SPDX-License-Identifier: (MIT OR Apache-2.0)": {"Apache-2.0", "MIT"},
+            "SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0": {"GPL-2.0"},
+            "SPDX-License-Identifier: Zlib": set(), "SPDX-License-Identifier:": set(), "SPDX-License-Identifier: CC-BY-NC-4.0-x": set()}
+    rows = [(n, f"{n}/x.c", prose + line + "\n" + prose * 20) for n, line in enumerate(said)]
+    rows += [(n + 100, f"{n}/y.c", prose) for n in range(len(said))]
+    found = {r.doc_id: r for r in licences.detect(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    for n, (line, licence) in enumerate(said.items()):
+        assert {h.licence for h in found[n].headers} == licence and found[n].licence == min(licence, default=None), line
+        assert all(rows[n][2][h.start:h.stop] == line + "\n" and h.cosine == 1 for h in found[n].headers)
+        assert found[n + 100].licence is None     # a header is for its own file
+    assert "license" in licences.VOCABULARY
+
+
 @needs_tables
 def test_licence_lines_of_the_tables(docs, texts):
     lines = {"MIT": "released under the mit license.", "Apache-2.0": "licensed under the apache license, version 2.0.",
