@@ -191,3 +191,39 @@ def test_cells_of_many_vectors_share_tasks():
     from tastegraph.operators.dense_pairs import BLOCK_BYTES, PART_ROWS, TASKS_PER_CORE, _width
     cells = -(-10**9 // PART_ROWS) * -(-10**9 * 8 * 64 // BLOCK_BYTES)
     assert cells > 10**6 and _width(cells, 4000) == TASKS_PER_CORE * 4000
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])
+def test_a_basket_is_sent_once_for_each_block_it_touches(ratings, monkeypatch, chunk):
+    """Not once for each pair of blocks: entries sent stay below the square of the baskets."""
+    monkeypatch.setattr(sparse_pairs, "BLOCK_ITEMS", 8)
+    monkeypatch.setattr(sparse_pairs, "CHUNK_ENTRIES", chunk)
+    sent = []
+    routed = sparse_pairs._routed
+
+    def counted(*given):
+        found = routed(*given)
+        sent.append(tuple(found.selectExpr("count(*)", "sum(size(items))").first()))
+        return found
+
+    monkeypatch.setattr(sparse_pairs, "_routed", counted)
+    random = np.random.default_rng(5)
+    table = [(u, int(p)) for u in range(100) for p in random.choice(2000, 6, replace=False)]
+    assert rows(item_cf_sims(ratings(table), 5)) == _top(_co_ratings(table), 5)
+    if chunk == 1024:
+        assert sent[0][0] <= 100 * 6 and sent[0][1] <= 100 * 6 * 6
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    from tastegraph.workspace import SHUFFLE_CLEANUP, materialize
+    seen = []
+
+    class Table:
+        sparkSession = spark
+        schema = spark.range(1).schema
+
+        class write:
+            parquet = staticmethod(lambda path: (seen.append(spark.conf.get(SHUFFLE_CLEANUP)), spark.range(1).write.parquet(path)))
+
+    assert materialize(Table, "written").count() == 1
+    assert seen == ["true"] and spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
