@@ -227,3 +227,15 @@ def test_shuffle_files_go_once_a_table_is_written(spark):
 
     assert materialize(Table, "written").count() == 1
     assert seen == ["true"] and spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
+
+
+def test_a_task_has_a_bounded_number_of_scores(spark, monkeypatch):
+    from tastegraph.operators import dense_pairs
+    monkeypatch.setattr(dense_pairs, "CELL_PAIRS", 500)
+    matrix = np.random.default_rng(12).normal(size=(200, 6))
+    cells = []
+    monkeypatch.setattr(dense_pairs, "_width", lambda n, parallelism: cells.append(n) or 4)
+    table = _vectors(spark, matrix)
+    found = rows(best_matches(table, table, 5, same=True, decimals=6))
+    assert cells == [200 * 200 // 500]
+    assert [(a, b, n) for a, b, _, n in found] == [(a, b, n) for a, b, _, n in _best(matrix, matrix, 5, True)]
