@@ -305,9 +305,9 @@ def decode_ids(tokens: dict[int, bytes], ids: bytes) -> str:
 
 
 @lru_cache
-def _words(path: str) -> Words:
+def _words(path: str, words: int, spaced: int) -> Words:
     """One vocabulary and one memory of words for a worker process."""
-    return Words(Vocabulary(path))
+    return Words(Vocabulary(path), words, spaced)
 
 
 @lru_cache
@@ -317,17 +317,18 @@ def _tokens(path: str) -> dict[int, bytes]:
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           carry: tuple[str, ...] = ()) -> DataFrame:
+           carry: tuple[str, ...] = (), words: int = CACHE_WORDS, spaced: int = CACHE_SPACED) -> DataFrame:
     """One row per row of `docs`: the id, the columns to carry, `n_tokens` and
     `ids`, the ids as little-endian unsigned 32-bit integers. `path` is the
     tokenizer file on every machine; strings of special tokens in a text become
-    these tokens. Carried columns named like a result give way to it."""
+    these tokens. Carried columns named like a result give way to it. `words` and
+    `spaced` say how much a worker remembers: more is quicker and takes memory."""
     kept = [id_col, *(c for c in carry if c not in ("n_tokens", "ids"))]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        words = _words(path)
-        ids = [encode_text(words, t) if t else b"" for t in rows.column(len(kept)).to_pylist()]
+        known = _words(path, words, spaced)
+        ids = [encode_text(known, t) if t else b"" for t in rows.column(len(kept)).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*rows.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
             names=[*kept, "n_tokens", "ids"])

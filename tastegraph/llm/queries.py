@@ -75,7 +75,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = (bpe.encode(_documents(spark, sf_dir), path)
+    encoded = (bpe.encode(_documents(spark, sf_dir), path, words=50_000, spaced=400_000)
                .withColumn("ids_sha256", F.sha2("ids", 256)))
     return bpe.decode(encoded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
