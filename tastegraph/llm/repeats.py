@@ -57,7 +57,11 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     while size < gram:
         step = min(size, gram - size)
         left, right = hashes[:len(hashes) - step], hashes[step:]
-        hashes = left * _MIX[0] + (right ^ (right >> np.uint64(29))) * _MIX[2]
+        mixed = right >> np.uint64(29)
+        mixed ^= right
+        mixed *= _MIX[2]
+        hashes = left * _MIX[0]
+        hashes += mixed
         size += step
     hashes ^= hashes >> np.uint64(32)
     return hashes * _MIX[1]
@@ -131,15 +135,6 @@ def _scan(length: int, gram: int, folded: bool):
     return run
 
 
-def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stable order of keys, and each key's place among the distinct ones, from 1."""
-    order = np.argsort(keys, kind="stable")
-    new = np.r_[True, keys[order][1:] != keys[order][:-1]]
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(new)
-    return order, ranks
-
-
 def shared_prefixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of `symbols` (0 to 511) in the order of their first `length`
     symbols, and which of them share these with the one before. `length` is
@@ -149,20 +144,31 @@ def shared_prefixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     packed = np.zeros(n, np.int64)
     for k in range(PACKED):
         packed = packed << 9 | wide[k:k + n]
-    order, ranks = _ranks(packed)
+    order = np.argsort(packed)
+    new = np.r_[True, packed[order][1:] != packed[order][:-1]]
+    known = np.r_[new, True]
+    # A suffix's rank is the place of the first that is like it so far, from 1; only
+    # those that are like another are sorted further.
+    ranks = np.empty(n, np.int64)
+    ranks[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + 1
+    tied = np.flatnonzero(~(new & known[1:]))
     size = PACKED
-    while size < length:
+    while size < length and len(tied):
         step = min(size, length - size)
-        behind = np.zeros(n, np.int64)
-        behind[:n - step] = ranks[step:]
-        order, ranks = _ranks(ranks * (n + 1) + behind)
+        at = order[tied]
+        behind = np.where(at < n - step, ranks[np.minimum(at + step, n - 1)], 0)
+        key = ranks[at] * (n + 1) + behind
+        by_key = np.argsort(key)
+        at, key = at[by_key], key[by_key]
+        order[tied] = at
+        new = np.r_[True, key[1:] != key[:-1]]
+        ranks[at] = np.maximum.accumulate(np.where(new, tied, 0)) + 1
+        tied = tied[~(new & np.r_[new[1:], True])]
         size += step
     before = symbols[order - 1]  # of the first symbol, the last: a separator
-    by_symbol = np.argsort(before, kind="stable")
+    by_symbol = np.argsort(before.astype(np.int16), kind="stable")
     lf = np.empty(n, np.int64)
     lf[by_symbol] = np.arange(n)
-    known = np.ones(n + 1, dtype=bool)
-    known[1:n] = packed[order[1:]] != packed[order[:-1]]
     low = np.flatnonzero(known[:n])
     high = np.r_[low[1:], n] - 1
     for _ in range(PACKED, length):
