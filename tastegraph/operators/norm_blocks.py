@@ -7,6 +7,9 @@ one of its k best. Blocks are taken in rounds, one, then one more, two, four and
 so on; after each round the k best so far are written and those left vectors go
 on whose bound for the next block is no less than their k-th score. Within a
 round the work is cut into cells as in `dense_pairs`.
+
+Vectors of few components have a tighter bound, by the least and greatest values
+of a block's components: they go by `box_blocks`.
 """
 
 from __future__ import annotations
@@ -14,11 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tastegraph.functions import top_per_group
+from tastegraph.operators.box_blocks import best_dots_in_boxes
 from tastegraph.operators.dense_pairs import BLOCK_BYTES, PART_ROWS, counted, matched, usable
 from tastegraph.workspace import materialize
 
 #: More than a sum of products in doubles can be off, as a share of the lengths.
 SLACK = 1e-9
+#: Components up to which blocks can be cut small in all of them.
+BOX_WIDTH = 4
 
 
 def _length(vector: str) -> Column:
@@ -41,6 +47,8 @@ def best_dots(left: DataFrame, right: DataFrame, k: int, decimals: int | None =
     spark, parallelism = left.sparkSession, left.sparkSession.sparkContext.defaultParallelism
     left, right = usable(left), usable(right)
     n_left, n_right, width = counted(left, right)
+    if width <= BOX_WIDTH:
+        return best_dots_in_boxes(left, right, k, decimals, block_bytes, (n_left, n_right, width), rounds)
     blocks = max(1, -(-n_right * 8 * max(width, 1) // block_bytes))
     columns = F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector")
     # Sorted by length and then by a hash, so that vectors of one length fill many blocks.
