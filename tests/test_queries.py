@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
@@ -49,5 +50,21 @@ def test_ranks_without_gaps_and_no_self(spark, name, width):
         assert (found["product_id"] != found["rid"]).all()
 
 
+def test_product_sims_have_every_partner(spark, monkeypatch):
+    from tastegraph.operators import latent
+    real, models = latent.train_als, []
+    monkeypatch.setattr(latent, "train_als", lambda rows: models.append(real(rows, rank=4, iterations=2)) or models[0])
+    found = contract.queries()["als_product_sims"](spark, SF_DIR).toPandas()
+    items = models[0].itemFactors.toPandas().sort_values("id")
+    vectors = np.array(items["features"].tolist(), dtype="float64")
+    cosine = vectors @ vectors.T / np.outer(*[np.linalg.norm(vectors, axis=1)] * 2)
+    ids = items["id"].to_numpy()
+    expected = {(a, b) for a, b in zip(*(ids[side] for side in np.nonzero(cosine > 1e-9))) if a != b}
+    pairs = set(zip(found["product_id"], found["rid"]))
+    assert len(pairs) == len(found) and expected <= pairs
+    assert found["product_id"].value_counts().max() > 20 and (found["r"] > 0).all() and (found["product_id"] != found["rid"]).all()
+    assert all(abs(r - cosine[np.searchsorted(ids, a), np.searchsorted(ids, b)]) < 1e-9 for a, b, r in found.itertuples(index=False))
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
