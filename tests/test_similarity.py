@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tastegraph.operators import sparse_pairs
@@ -214,6 +215,37 @@ def test_a_basket_is_sent_once_for_each_block_it_touches(ratings, monkeypatch, c
         assert sent[0][0] <= 100 * 6 and sent[0][1] <= 100 * 6 * 6
 
 
+@pytest.mark.parametrize("cell_entries", [4_000_000, 300])
+def test_baskets_are_sent_in_rounds_and_partial_sums_are_not_kept(ratings, skewed, monkeypatch, cell_entries):
+    """Written sums are those of whole pairs, the k best of a cell, also where cells are split."""
+    for name, value in (("BLOCK_ITEMS", 30), ("ROUND_ENTRIES", 1500), ("ROUND_SHARE", 0), ("CELL_ENTRIES", cell_entries)):
+        monkeypatch.setattr(sparse_pairs, name, value)
+    written, real = [], sparse_pairs.materialize
+
+    def kept(df, name):
+        table = real(df, name)
+        if name == "pair-sums":
+            written.append(table)
+        return table
+
+    monkeypatch.setattr(sparse_pairs, "materialize", kept)
+    assert rows(item_cf_sims(ratings(skewed), 5)) == _top(_co_ratings(skewed), 5)
+    assert len(written) > 3
+    for table in written:
+        assert table.columns == ["product_id", "rid", "dot", "left_norm", "right_norm"]
+    pairs = [(r.product_id, r.rid) for table in written for r in table.collect()]
+    assert len(pairs) == len(set(pairs)) < len(_co_ratings(skewed)) / 3
+
+
+def test_cells_of_an_even_table_need_no_splits(spark):
+    """900 thousand baskets of 40 out of 1.2 million items: more cells, not split ones."""
+    sizes = spark.range(900).select(F.col("id").alias("key"), F.lit(40).alias("n"))
+    sizes = sizes.crossJoin(spark.range(1000).select(F.lit(1))).select("key", "n")
+    blocks, stripes = sparse_pairs._grid(sizes, 1_200_000)
+    sent = 36e6 * (min(40, blocks) + min(40, stripes))
+    assert (sent + 900e3 * 1600 / sparse_pairs.PAIRS_PER_ENTRY) / (blocks * stripes) < 0.6 * sparse_pairs.CELL_ENTRIES
+
+
 def test_shuffle_files_go_once_a_table_is_written(spark):
     from tastegraph.workspace import SHUFFLE_CLEANUP, materialize
     seen = []
