@@ -81,7 +81,7 @@ def best_dots(left: DataFrame, right: DataFrame, k: int, decimals: int | None =
             F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "block", F.lit(0).alias("side"), "id", "vector")
         reached = passing.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
                                  F.explode("blocks").alias("block"), F.lit(1).alias("side"), "id", "vector")
-        found = matched(held.unionByName(reached), parts * n, k, "dot", decimals=decimals)
+        found = matched(held.unionByName(reached), parts, n, k, "dot", decimals=decimals)
         best = materialize(top_per_group(best.drop("rank").unionByName(found), ["id"], [F.desc("r"), F.asc("rid")], k), "best-dots")
         # Whoever has k scores needs no block that can't reach the least of them.
         full = best.where(F.col("rank") == k).select("id", F.col("r").alias("kth"))

@@ -271,3 +271,15 @@ def test_a_task_has_a_bounded_number_of_scores(spark, monkeypatch):
     found = rows(best_matches(table, table, 5, same=True, decimals=6))
     assert cells == [200 * 200 // 500]
     assert [(a, b, n) for a, b, _, n in found] == [(a, b, n) for a, b, _, n in _best(matrix, matrix, 5, True)]
+
+
+def test_every_task_has_as_many_cells(spark):
+    """Cells dealt by a hash would leave some tasks without one."""
+    from tastegraph.operators.dense_pairs import matched
+    parts, blocks = 4, 2
+    cells = spark.createDataFrame([(p, b, side, 10 * p + side, [1.0]) for p in range(parts) for b in range(blocks) for side in (0, 1)],
+                                  "part int, block int, side int, id long, vector array<double>")
+    found = matched(cells, parts, blocks, 1, "dot")
+    per_task = found.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert sorted(r["count"] for r in per_task) == [1] * (parts * blocks)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
