@@ -9,7 +9,7 @@ compared in a task of its own. Within leaves all cosines are computed in double
 precision. A pair that meets in several leaves counts in the least of them,
 which both sides know from their lists of leaves, so links are counted
 without ever being listed; for the components, a chain stands for the links
-found in one task.
+found in one task. Vectors travel in rounds, some leaves at a time.
 
 The directions need nothing from the data, the thresholds a sample of at most
 `SAMPLE` vectors; every vector is indexed. Depth grows with the number of
@@ -26,6 +26,7 @@ without another of their length. Repeated rows are linked like equal vectors.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,10 @@ RECALL = 0.999
 LEAF_ROWS = 1024
 #: Rows of a leaf compared in one task at most, twice that for two parts.
 PART_ROWS = 1024
+#: A vector travels once for each of its leaves, some leaves at a time: bytes sent
+#: in one round, or this many times those of the vectors, where that is more.
+ROUND_BYTES = 1 << 30
+ROUND_SHARE = 4
 #: Directions of a tree, and the sample that shows how vectors project on them.
 DIRECTIONS = 32
 SAMPLE = 4096
@@ -202,6 +207,19 @@ def _compare(least: float):
     return over
 
 
+def _rounds(indexed: DataFrame, counts: DataFrame) -> list[tuple[int, int, int, int]]:
+    """(round, share, rounds, shares): leaves are dealt to rounds, and the pairs of
+    parts of a leaf to shares where one leaf alone is too much for a round."""
+    own = 8 * F.size("unit") + 64
+    bytes_, row = indexed.agg(F.coalesce(F.sum(own), F.lit(0)), F.coalesce(F.avg(own + 4 * F.size("leaves")), F.lit(0.0))).first()
+    sent = F.col("count") * F.col("parts")
+    total, most = counts.agg(F.coalesce(F.sum(sent), F.lit(0)), F.coalesce(F.max(sent), F.lit(0))).first()
+    room = max(ROUND_BYTES, ROUND_SHARE * bytes_)
+    rounds, shares = (max(1, int(-(-n * row // room))) for n in (total, most))
+    rounds = max(1, -(-rounds // shares))
+    return [(i, j, rounds, shares) for i in range(rounds) for j in range(shares)]
+
+
 def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding",
                  trees: int = TREES, leaf_rows: int = LEAF_ROWS, part_rows: int = PART_ROWS,
                  spill: float = SPILL, recall: float = RECALL) -> DataFrame:
@@ -236,20 +254,27 @@ def near_vectors(vectors: DataFrame, least: float, id_col: str = "vec_id", vecto
 
     indexed = written(map_batches(classes.select("node", "copies", "vector"), index,
                                   "node long, copies long, unit array<double>, leaves array<long>"), "indexed")
-    # a vector travels once for each of its leaves, and its leaves before that with it
-    placed = indexed.select(F.posexplode("leaves").alias("before", "leaf"), F.size("unit").alias("size"), "node", "copies", "unit",
-                            "leaves").withColumn("leaves", F.slice("leaves", F.lit(1), F.col("before"))).drop("before")
     counts = written(indexed.select(F.explode("leaves").alias("leaf"), F.size("unit").alias("size"))
-                     .groupBy("leaf", "size").count().where("count > 1"), "leaf-counts")
-    spread = (placed.join(counts, ["leaf", "size"])
-              .withColumn("parts", F.ceil(F.col("count") / part_rows))
-              .withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-              .select("leaf", "size", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-                      "part", "node", "copies", "unit", "leaves"))
+                     .groupBy("leaf", "size").count().where("count > 1").withColumn("parts", F.ceil(F.col("count") / part_rows)), "leaf-counts")
     keys = ["leaf", "size", "low", "high"]
-    found = written(spread.repartition(*keys).sortWithinPartitions(*keys, "part").mapInArrow(
-        _compare(least), "node long, other long, links long"), "found")
+    tables = []
+    for round_, part, rounds, shares in _rounds(indexed, counts):
+        # a vector travels once for each of its leaves of the round, and its leaves before that with it
+        here = F.transform("leaves", lambda leaf, before: F.struct(before.alias("before"), leaf.alias("leaf")))
+        if rounds > 1:
+            here = F.filter(here, lambda at: F.pmod(F.xxhash64(at["leaf"]), F.lit(rounds)) == round_)
+        placed = (indexed.select(F.explode(here).alias("at"), F.size("unit").alias("size"), "node", "copies", "unit", "leaves")
+                  .select("at.leaf", "size", "node", "copies", "unit", F.slice("leaves", F.lit(1), F.col("at.before")).alias("leaves")))
+        spread = (placed.join(counts.where(F.pmod(F.xxhash64("leaf"), F.lit(rounds)) == round_), ["leaf", "size"])
+                  .withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+                  .select("leaf", "size", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+                          "part", "node", "copies", "unit", "leaves"))
+        if shares > 1:
+            spread = spread.where(F.pmod(F.col("low") + F.col("high"), F.lit(shares)) == part)
+        tables.append(written(spread.repartition(*keys).sortWithinPartitions(*keys, "part").mapInArrow(
+            _compare(least), "node long, other long, links long"), "found"))
+    found = reduce(DataFrame.unionByName, tables)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found, "node", "other")
     joined = classes.select("node", "vector", "first", "copies").join(links, "node", "left").join(roots, "node", "left")

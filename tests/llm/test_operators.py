@@ -480,6 +480,23 @@ def test_forest_finds_what_brute_force_finds(spark):
     assert forest.near_vectors(frame.limit(0), 0.9).count() == 0
 
 
+@pytest.mark.parametrize("room,leaf_rows,shares", [(5_000_000, 40, False), (200_000, 400, True)])
+def test_forest_sends_in_rounds_what_it_finds_at_once(spark, monkeypatch, room, leaf_rows, shares):
+    chance = np.random.default_rng(14)
+    vectors = np.concatenate([chance.normal(size=(250, 8)), np.tile(chance.normal(size=8), (120, 1)) + 0.02 * chance.normal(size=(120, 8))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+
+    def found():
+        return sorted(map(tuple, forest.near_vectors(frame, 0.9, leaf_rows=leaf_rows, part_rows=30).collect()))
+
+    at_once, planned, real = found(), [], forest._rounds
+    monkeypatch.setattr(forest, "ROUND_BYTES", room)
+    monkeypatch.setattr(forest, "ROUND_SHARE", 0)
+    monkeypatch.setattr(forest, "_rounds", lambda *given: planned.extend(real(*given)) or planned)
+    assert found() == at_once and any(r[1] for r in at_once)
+    assert len(planned) > 2 and (planned[0][3] > 1) == shares
+
+
 def _pairs_at(cosine, pairs, size):
     chance = np.random.default_rng(13)
     left = forest._units(chance.normal(size=(pairs, size)))
